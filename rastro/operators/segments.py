@@ -10,12 +10,12 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from rastro.functions.columns import squared_distance
 from rastro.operators.split import sample_users
 from rastro.operators.transform import log_features
 from rastro.schemas import FEATURE_COLUMNS
+from rastro.session import pinned
 
 
 def scale_features(features: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -48,32 +48,32 @@ def fit_centers(
     seed: int = 42,
     starts: int = 10,
     columns: list[str] | None = None,
-    parallel: int = 4,
+    iterations: int = 300,
+    parallel: int = 8,
 ) -> list[list[float]]:
     """Centres of the best of several K-Means starts, quietest segment first.
 
     Most users of a click log share their feature values with many others, so
     the fit runs on distinct vectors weighted by their number of users; the cost
-    is the same sum. Sorting centres by mean activity makes the labels stable.
+    is the same sum. The starts are jobs of their own and run side by side.
     """
     columns = FEATURE_COLUMNS if columns is None else columns
     weighted = scaled.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("_users"))
     assembler = VectorAssembler(inputCols=columns, outputCol="vector")
-    # Sorted, so that a seed draws the same first centres on every run.
-    vectors = assembler.transform(weighted.orderBy(*columns)).select("vector", "_users")
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    # Sorted and pinned, so that a seed draws the same first centres on every run.
+    vectors = pinned(assembler.transform(weighted.orderBy(*columns)).select("vector", "_users"))
+    spark = vectors.sparkSession
 
+    @inheritable_thread_target(spark)
     def start(number: int):
-        kmeans = KMeans(k=k, seed=seed + number, featuresCol="vector", weightCol="_users")
+        kmeans = KMeans(
+            k=k, seed=seed + number, maxIter=iterations, featuresCol="vector", weightCol="_users"
+        )
         model = kmeans.fit(vectors)
         return model.summary.trainingCost, number, [c.tolist() for c in model.clusterCenters()]
 
-    try:
-        vectors.count()
-        with ThreadPool(min(parallel, starts)) as pool:
-            fits = pool.map(inheritable_thread_target(vectors.sparkSession)(start), range(starts))
-    finally:
-        vectors.unpersist()
+    with ThreadPool(min(parallel, starts)) as pool:
+        fits = pool.map(start, range(starts))
     return sorted_centers(min(fits, key=lambda fit: fit[:2])[2])
 
 
