@@ -6,7 +6,7 @@ planned over (key, value) first, so a hot key is spread by its values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rastro.schemas import FEATURE_COLUMNS, PROFILE_OUTLIER
@@ -106,19 +106,18 @@ def scaled_profile(
     """Profiles of the ordinary clusters, each column moved to 0…1.
 
     The outlier cluster is left out, as it would flatten the others. A column
-    without spread gives 0. The input has one row per cluster.
+    without spread gives 0. The input has one row per cluster, so one window may
+    hold all of it.
     """
     columns = PROFILE_COLUMNS if columns is None else columns
     ordinary = profile.filter(F.col("cluster") != outlier)
-    ends = [f(c).alias(f"{f.__name__}_{c}") for c in columns for f in (F.min, F.max)]
-    bounds = ordinary.agg(F.struct(*ends)).scalar()
-    with_bounds = ordinary.withColumn("_b", bounds)
+    every = Window.partitionBy()
 
     def scaled(c: str):
-        low, high = F.col(f"_b.min_{c}"), F.col(f"_b.max_{c}")
+        low, high = F.min(c).over(every), F.max(c).over(every)
         return F.coalesce(F.try_divide(F.col(c) - low, high - low), F.lit(0.0)).alias(c)
 
-    return with_bounds.select("cluster", *[scaled(c) for c in columns])
+    return ordinary.select("cluster", *[scaled(c) for c in columns])
 
 
 def hits_with_segments(hits: DataFrame, segments: DataFrame) -> DataFrame:

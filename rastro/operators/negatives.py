@@ -2,8 +2,11 @@
 
 Try number t of a positive draws item ``hash(seed, epoch, positive, t) mod n``,
 so the sample depends on nothing but the data, the seed and the epoch. Draws of
-seen items are dropped and the first ``n`` that are left count, in the order of
+seen items are rejected and the first ``n`` that are left count, in the order of
 the tries, with replacement.
+
+Draws can be computed again at any time and few are rejected. So only (positive,
+user, item, try) meets the seen pairs, and only the rejected tries come back.
 """
 
 from __future__ import annotations
@@ -12,12 +15,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rastro.functions.columns import hash_int
-from rastro.session import pinned
+from rastro.session import pinned, spread
 
 TRIES_PER_NEGATIVE = 10
+DRAWS_PER_TASK = 10_000_000
+
+
+def _numbered(positives: DataFrame, key: list[str], tries: int) -> DataFrame:
+    """Positives with a number of their own, pinned so that it stays the same.
+
+    They are few bytes and much work, so they are spread by their draws first.
+    """
+    columns = list(dict.fromkeys(["u_idx", "i_idx", *key]))
+    even = spread(positives.select(*columns), DRAWS_PER_TASK // tries)
+    return pinned(even.withColumn("_pos", F.monotonically_increasing_id()))
 
 
-def _drawn(
+def _with_accepted(
     wanted: DataFrame,
     seen: DataFrame,
     n_items: Column | int,
@@ -26,40 +40,46 @@ def _drawn(
     epoch: int,
     first: int,
     last: int,
+    true_item: str | None = None,
 ) -> DataFrame:
-    """Per positive: its accepted draws among tries first … last−1, in order.
+    """Add ``_accepted``: per positive the tries first … last−1 that hit an unseen item.
 
-    Rows meet the seen pairs on (user, drawn item), which spreads a user with
-    very many positives. A positive without any accepted draw keeps an empty
-    list. The lists hold at most last−first draws.
+    Draws meet the seen pairs on (user, item), which spreads a user with very
+    many positives over the items.
     """
     tries = F.sequence(F.lit(first), F.lit(last - 1))
-    exploded = wanted.withColumn("_try", F.explode(tries))
-    drawn = exploded.withColumn(
-        "_item",
-        F.pmod(
-            hash_int(F.lit(seed), F.lit(epoch), *[F.col(c) for c in key], F.col("_try")),
-            F.lit(n_items),
-        ),
+    drawn = wanted.withColumn("_try", F.explode(tries)).withColumn(
+        "_item", _item(n_items, key, seed, epoch, F.col("_try"))
     )
-    marked = drawn.join(
-        seen.select(F.col("u_idx"), F.col("i_idx").alias("_item"), F.lit(True).alias("_seen")),
-        ["u_idx", "_item"],
-        "left",
+    pairs = seen.select("u_idx", F.col("i_idx").alias("_item"))
+    rejected = drawn.select("_pos", "_try", "u_idx", "_item").join(
+        pairs, ["u_idx", "_item"], "left_semi"
     )
-    accepted = F.when(
-        F.col("_seen").isNull() & ~F.col("_item").eqNullSafe(F.col("_true_item")),
-        F.struct("_try", "_item"),
-    )
-    return marked.groupBy(*wanted.columns).agg(
-        F.sort_array(F.collect_list(accepted)).alias("_accepted")
+    if true_item:
+        own = drawn.filter(F.col("_item") == F.col(true_item))
+        rejected = rejected.unionByName(own.select(*rejected.columns))
+    # At most last−first entries per positive.
+    lists = rejected.groupBy("_pos").agg(F.collect_set("_try").alias("_rejected"))
+    nothing = F.array().cast("array<int>")
+    accepted = F.filter(
+        tries, lambda t: ~F.array_contains(F.coalesce("_rejected", nothing), t)
     )
+    joined = wanted.join(pinned(lists), "_pos", "left")
+    return joined.withColumn("_accepted", accepted).drop("_rejected")
+
 
+def _item(n_items: Column | int, key: list[str], seed: int, epoch: int, attempt: Column) -> Column:
+    drawn = hash_int(F.lit(seed), F.lit(epoch), *[F.col(c) for c in key], attempt)
+    # Never null, and seen to be so: else a join computes it twice, to filter nulls.
+    return F.coalesce(F.pmod(drawn, F.lit(n_items).cast("bigint")), F.lit(-1))
 
-def _first_n(lists: DataFrame, n: Column) -> DataFrame:
-    chosen = F.explode(F.slice("_accepted", F.lit(1), n))
-    picked = lists.select("*", chosen.alias("_pick"))
-    return picked.withColumn("neg_idx", F.col("_pick._item")).drop("_accepted", "_pick")
+
+def _first_items(
+    accepted: DataFrame, n: Column, n_items: Column | int, key: list[str], seed: int, epoch: int
+) -> DataFrame:
+    """One row per chosen try, with the drawn item as ``neg_idx``."""
+    chosen = accepted.withColumn("_try", F.explode(F.slice("_accepted", F.lit(1), n)))
+    return chosen.withColumn("neg_idx", _item(n_items, key, seed, epoch, F.col("_try")))
 
 
 def training_negatives(
@@ -75,25 +95,20 @@ def training_negatives(
 
     The first 2·n tries are enough for nearly every positive. The others, whose
     users have seen much of the catalogue, go on to the full number of tries.
-    Both stages read the same first lists, which Spark computes once.
     """
-    wanted = positives.select("u_idx", "i_idx", *_extra(key)).withColumn(
-        "_true_item", F.lit(None).cast("bigint")
+    wanted = _numbered(positives, key, 2 * n)
+    early = _with_accepted(wanted, seen, n_items, key, seed, epoch, 0, 2 * n)
+    missing = F.lit(n) - F.size("_accepted")
+    short = pinned(
+        early.filter(missing > 0).withColumn("_missing", missing).drop("_accepted")
     )
-    early = _drawn(wanted, seen, n_items, key, seed, epoch, 0, 2 * n)
-    kept = _first_n(early, F.lit(n))
-    short = early.filter(F.size("_accepted") < n).withColumn(
-        "_missing", F.lit(n) - F.size("_accepted")
+    late = _with_accepted(
+        short, seen, n_items, key, seed, epoch, 2 * n, TRIES_PER_NEGATIVE * n
     )
-    rest = _drawn(
-        short.drop("_accepted"), seen, n_items, key, seed, epoch, 2 * n, TRIES_PER_NEGATIVE * n
-    )
-    more = _first_n(rest, F.col("_missing")).drop("_missing")
-    return kept.unionByName(more).select("u_idx", F.col("neg_idx").alias("i_idx"))
-
-
-def _extra(key: list[str]) -> list[str]:
-    return [c for c in key if c not in ("u_idx", "i_idx")]
+    kept = _first_items(early, F.lit(n), n_items, key, seed, epoch)
+    more = _first_items(late, F.col("_missing"), n_items, key, seed, epoch)
+    columns = ["u_idx", F.col("neg_idx").alias("i_idx")]
+    return kept.select(*columns).unionByName(more.select(*columns))
 
 
 def training_pairs(
@@ -125,35 +140,29 @@ def evaluation_negatives(
 ) -> DataFrame:
     """Exactly n unseen items, none the true one, per (user, true item).
 
-    Tries go on, twice as many each round, for the pairs that are still short;
-    nearly all have enough after the first. A user who has seen every other item
-    has nothing to draw and is left out.
+    Tries go on, more each round, for the pairs that are still short; nearly all
+    have enough after the first. A user who has seen every other item has
+    nothing to draw and is left out.
     """
+    key = ["u_idx", "i_idx"]
+    seen = seen.select(*key)
     seen_counts = seen.groupBy("u_idx").agg(F.count(F.lit(1)).alias("_n_seen"))
-    with_true = test_pairs.select("u_idx", "i_idx").join(
-        seen.withColumn("_known", F.lit(1)), ["u_idx", "i_idx"], "left"
-    )
-    taken = F.coalesce(F.col("_n_seen"), F.lit(0)) + F.when(F.col("_known").isNull(), 1).otherwise(0)
-    wanted = (
-        with_true.join(seen_counts, "u_idx", "left")
-        .filter(taken < F.lit(n_items))
-        .select("u_idx", "i_idx", F.col("i_idx").alias("_true_item"), F.lit(n).alias("_missing"))
-    )
-    first, last = 0, 2 * n
-    rounds = []
+    with_true = test_pairs.select(*key).join(seen.withColumn("_known", F.lit(1)), key, "left")
+    taken = F.coalesce("_n_seen", F.lit(0)) + F.when(F.col("_known").isNull(), 1).otherwise(0)
+    drawable = with_true.join(seen_counts, "u_idx", "left").filter(taken < F.lit(n_items))
+    wanted = _numbered(pinned(drawable), key, 2 * n).withColumn("_missing", F.lit(n))
+
+    first, last, sample = 0, 2 * n, None
     while True:
-        lists = pinned(
-            _drawn(wanted, seen, n_items, ["u_idx", "i_idx"], seed, 0, first, last)
+        accepted = _with_accepted(wanted, seen, n_items, key, seed, 0, first, last, "i_idx")
+        found = _first_items(accepted, F.col("_missing"), n_items, key, seed, 0).select(
+            "u_idx", "i_idx", "neg_idx"
         )
-        rounds.append(_first_n(lists, F.col("_missing")).select("u_idx", "i_idx", "neg_idx"))
-        short = lists.filter(F.size("_accepted") < F.col("_missing"))
-        if short.isEmpty():
-            break
-        wanted = short.withColumn("_missing", F.col("_missing") - F.size("_accepted")).drop(
-            "_accepted"
+        sample = found if sample is None else sample.unionByName(found)
+        missing = F.col("_missing") - F.size("_accepted")
+        short = pinned(
+            accepted.withColumn("_missing", missing).filter("_missing > 0").drop("_accepted")
         )
-        first, last = last, 3 * last
-    sample = rounds[0]
-    for more in rounds[1:]:
-        sample = sample.unionByName(more)
-    return sample
+        if short.isEmpty():
+            return sample
+        wanted, first, last = short, last, 3 * last

@@ -69,6 +69,15 @@ def orders_of(spark, sf):
     return tr.transform_events(cl.clean_events(ad.orders_log(spark, sf)))
 
 
+def features_of(spark, sf):
+    return pinned(ag.user_features(orders_of(spark, sf)))
+
+
+def segments_of(spark, sf):
+    """User features of the larger log with the segment of the nearest fixed centre."""
+    return fixed.fixed_segments(features_of(spark, sf))
+
+
 def split_of(spark, sf):
     return sp.split_events(pinned(orders_of(spark, sf)))
 
@@ -148,7 +157,7 @@ def sink_events_parquet(spark, sf):
 
 @query("sink_parquet")
 def sink_parquet(spark, sf):
-    segments = fixed.fixed_segments(pinned(events_of(spark, sf)))
+    segments = fixed.fixed_segments(pinned(ag.user_features(events_of(spark, sf))))
     path = sinks.write_table(segments, new_folder(spark, "segments"))
     return tables.read_table(spark, path)
 
@@ -261,7 +270,7 @@ def tr_events(spark, sf):
 
 @query("tr_cluster_name")
 def tr_cluster_name(spark, sf):
-    named = tr.name_clusters(fixed.fixed_segments(pinned(orders_of(spark, sf))))
+    named = tr.name_clusters(segments_of(spark, sf))
     return named.select("visitorid", "cluster", "cluster_nombre")
 
 
@@ -312,23 +321,23 @@ def agg_top_products(spark, sf):
 @query("agg_kpis")
 def agg_kpis(spark, sf):
     events = pinned(orders_of(spark, sf))
-    return ag.kpis(events, fixed.fixed_segments(events))
+    return ag.kpis(events, fixed.fixed_segments(pinned(ag.user_features(events))))
 
 
 @query("agg_cluster_size")
 def agg_cluster_size(spark, sf):
-    return ag.cluster_sizes(fixed.fixed_segments(pinned(orders_of(spark, sf))))
+    return ag.cluster_sizes(segments_of(spark, sf))
 
 
 @query("agg_cluster_profile")
 def agg_cluster_profile(spark, sf):
-    profile = ag.cluster_profile(fixed.fixed_segments(pinned(orders_of(spark, sf))))
+    profile = ag.cluster_profile(segments_of(spark, sf))
     return profile.select("cluster", *[F.round(c, 6).alias(c) for c in FEATURE_COLUMNS])
 
 
 @query("agg_cluster_minmax")
 def agg_cluster_minmax(spark, sf):
-    profile = ag.cluster_profile(fixed.fixed_segments(pinned(orders_of(spark, sf))))
+    profile = ag.cluster_profile(segments_of(spark, sf))
     scaled = ag.scaled_profile(profile)
     return scaled.select("cluster", *[F.round(c, 6).alias(c) for c in ag.PROFILE_COLUMNS])
 
@@ -404,10 +413,6 @@ def sample_users(spark, sf):
 # --- segments ----------------------------------------------------------------
 
 
-def features_of(spark, sf):
-    return pinned(ag.user_features(orders_of(spark, sf)))
-
-
 @query("seg_scale")
 def seg_scale(spark, sf):
     return _rounded(sg.prepared_features(features_of(spark, sf)))
@@ -415,8 +420,7 @@ def seg_scale(spark, sf):
 
 @query("seg_assign")
 def seg_assign(spark, sf):
-    labelled = fixed.label_users(features_of(spark, sf), fixed.FIXED_CENTERS)
-    return labelled.select("visitorid", "cluster")
+    return segments_of(spark, sf).select("visitorid", "cluster")
 
 
 @query("seg_kmeans")
@@ -433,7 +437,7 @@ def seg_relabel(spark, sf):
 
 @query("seg_project_2d")
 def seg_project_2d(spark, sf):
-    return sg.project_2d(fixed.label_users(features_of(spark, sf), fixed.FIXED_CENTERS))
+    return sg.project_2d(pinned(segments_of(spark, sf)))
 
 
 @query("seg_dispersion")
@@ -649,13 +653,13 @@ def eval_hits_user(spark, sf):
 
 @query("join_hits_segments")
 def join_hits_segments(spark, sf):
-    segments = fixed.label_users(features_of(spark, sf), fixed.FIXED_CENTERS)
+    segments = segments_of(spark, sf)
     return ag.hits_with_segments(eval_hits_user(spark, sf), segments)
 
 
 @query("agg_hit_by_cluster")
 def agg_hit_by_cluster(spark, sf):
-    segments = fixed.label_users(features_of(spark, sf), fixed.FIXED_CENTERS)
+    segments = segments_of(spark, sf)
     rates = ag.hit_rate_by_cluster(eval_hits_user(spark, sf), segments, TOP_N)
     return rates.withColumn("hit_rate@10", F.round("`hit_rate@10`", 6))
 

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rastro.functions.running import row_rank
-from rastro.operators.aggregate import user_features
 from rastro.operators.recommend import rank_scores
 from rastro.operators.segments import label_users
 from rastro.operators.split import seen_pairs, unseen_only
@@ -58,8 +57,8 @@ def by_events() -> Column:
     return F.count(F.lit(1))
 
 
-def fixed_segments(events: DataFrame) -> DataFrame:
-    return label_users(user_features(events), FIXED_CENTERS)
+def fixed_segments(features: DataFrame) -> DataFrame:
+    return label_users(features, FIXED_CENTERS)
 
 
 def event_factors(cells: DataFrame, key: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ def build_session(app: str = "rastro", master: str | None = None, **settings: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Hash joins where every part of the smaller side was measured to fit.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
@@ -50,18 +53,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the application's own part of the shared folder."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark).rstrip('/')}/rastro-{application}/{label}-{uuid.uuid4().hex}"
 
 
 def pinned(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from the written copy.
+    """Write ``df`` once to the shared folder and go on from the written table.
 
     Used where a table is read several times or where its placement must not
-    change when an executor is lost and its tasks run again.
+    change when an executor is lost and its tasks run again. Parquet rather than
+    a checkpoint of rows: later reads take only the columns they need, and the
+    planner knows the size of the table.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = new_folder(df.sparkSession, "pinned")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(table: DataFrame, rows_per_task: int) -> DataFrame:
+    """Spread a pinned table for work whose cost follows its rows and not its bytes."""
+    parallel = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(max(parallel, ceil(table.count() / rows_per_task)))
 
 
 def checked_broadcast(df: DataFrame, rows: int | None = None) -> DataFrame:
