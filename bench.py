@@ -89,7 +89,7 @@ def main() -> None:
     known = pinned(sp.known_in_train(test, indexed.cells))
     for n_users in (1, 1000, 10_000):
         users = pinned(sp.limit_test_users(indexed.users.select("visitorid"), n_users))
-        measure(f"top10_{n_users}_users", lambda: drain(recommend_all(model, indexed, users)), 2)
+        measure(f"top10_{n_users}_users", lambda: drain(recommend_all(model, indexed, users)), 1)
     lists = pinned(recommend_all(model, indexed, known))
     measure("eval_full", lambda: ev.full_metrics(known, lists).collect())
     hits = ev.user_hits(known, lists)
@@ -97,13 +97,13 @@ def main() -> None:
 
     fit = catalog.fitted(spark, SF_DIR)
     fit.positives, fit.test_pairs  # noqa: B018 - inputs, not timed
-    measure("rec_neg_train", lambda: drain(fit.training_pairs()), 2)
+    measure("rec_neg_train", lambda: drain(fit.training_pairs()), 1)
 
     def sampled():
         fit.__dict__.pop("eval_negatives", None)
         return catalog.QUERIES["eval_sampled"](spark, SF_DIR).collect()
 
-    measure("eval_sampled_99_negatives", sampled, 2)
+    measure("eval_sampled_99_negatives", sampled, 1)
     for name in ("perf_load_stats", "perf_speedup", "perf_amdahl_fit", "perf_balance"):
         measure(name, lambda: drain(catalog.QUERIES[name](spark, SF_DIR)))
 

@@ -43,9 +43,8 @@ def running_total(
         return _sliced(df, keys, order, weight, name, slices)
     hot_keys = checked_broadcast(hot.select(*keys), n_hot)
     cold = _within(df.join(hot_keys, keys, "left_anti"), keys, order, weight, name)
-    return cold.unionByName(
-        _sliced(df.join(hot_keys, keys, "left_semi"), keys, order, weight, name, slices)
-    )
+    spread_out = _sliced(df.join(hot_keys, keys, "left_semi"), keys, order, weight, name, slices)
+    return cold.unionByName(spread_out).select(*df.columns, name)
 
 
 def _within(df, keys, order, weight, name):
@@ -83,11 +82,11 @@ def row_rank(
     return running_total(df, keys, order, None, name, hot_rows)
 
 
-def first_rows(df: DataFrame, order: list[Column], n: int, heap_rows: int = 1_000_000) -> DataFrame:
+def first_rows(df: DataFrame, order: list[Column], n: int, heap_rows: int = 10_000) -> DataFrame:
     """The first n rows of a total order, as a table.
 
-    A small n is a top-k sort; a large one goes through the sliced rank, so that
-    the prefix is never gathered in one task.
+    A small n is a top-k sort, which brings n rows of every task together; a
+    large one goes through the sliced rank, so that no task gathers the prefix.
     """
     if n <= heap_rows:
         return df.orderBy(*order).limit(n)

@@ -122,7 +122,7 @@ def training_pairs(
 ) -> DataFrame:
     """Positives with label 1 and their sampled negatives with label 0.
 
-    ``key`` names the columns that tell one positive from another. Positives are
+    ``positives`` and ``seen`` are pinned tables with u_idx and i_idx. ``key`` names the columns that tell one positive from another. Positives are
     events of a cleaned log, so a pair that repeats draws anew each time.
     """
     ones = positives.select("u_idx", "i_idx", F.lit(1.0).alias("label"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -12,13 +13,16 @@ from pyspark.sql import functions as F
 
 from rastro.functions.columns import dot
 from rastro.operators.split import sample_users
-from rastro.session import pinned, shared_folder
+from rastro.session import new_folder, pinned, shared_folder
 
+MIN_BLOCKS, MAX_BLOCKS = 10, 2000
+CELLS_PER_BLOCK = 1_000_000
 # A user with more seen items than this is ranked by the masked scan.
 HEAVY_SEEN = 4096
 HEAVY_CHUNK = 2048
 # Over-fetch steps: each user fetches N plus the next step above what it has seen.
 FETCH_STEPS = (8, 64, 512, HEAVY_SEEN)
+SCORED = "u_idx bigint, i_idx bigint, score double"
 
 
 def fit_als(
@@ -30,7 +34,7 @@ def fit_als(
     alpha: float = 1.0,
     blocks: int | None = None,
 ) -> ALSModel:
-    """Implicit-feedback factors of (u_idx, i_idx, peso).
+    """Implicit-feedback factors of (u_idx, i_idx, peso), a pinned table.
 
     Factors are written to the checkpoint folder every few iterations, so a lost
     executor does not repeat the whole fit.
@@ -38,7 +42,8 @@ def fit_als(
     spark = cells.sparkSession
     shared_folder(spark)
     if blocks is None:
-        blocks = max(10, spark.sparkContext.defaultParallelism)
+        # Blocks exchange factors pairwise, so their number follows the data, not the cores.
+        blocks = min(MAX_BLOCKS, max(MIN_BLOCKS, ceil(cells.count() / CELLS_PER_BLOCK)))
     als = ALS(
         rank=factors,
         maxIter=iterations,
@@ -101,34 +106,34 @@ def top_n_unseen(
             F.col("rating").cast("double").alias("score"),
         )
         lists = rows if lists is None else lists.unionByName(rows)
-    ranked = None
-    if lists is not None:
-        ranked = rank_scores(lists.join(own_seen, ["u_idx", "i_idx"], "left_anti"), n)
     if None in present:
-        heavy = rank_scores(_heavy_scores(model, sized.filter("_step is null"), own_seen, n), n)
-        ranked = heavy if ranked is None else ranked.unionByName(heavy)
-    return ranked
+        heavy = _heavy_scores(model, sized.filter("_step is null"), own_seen, n)
+        lists = heavy if lists is None else lists.unionByName(heavy)
+    if lists is None:
+        lists = users.sparkSession.createDataFrame([], SCORED)
+    return rank_scores(lists.join(own_seen, ["u_idx", "i_idx"], "left_anti"), n)
 
 
 def _heavy_scores(model: ALSModel, heavy: DataFrame, seen: DataFrame, n: int) -> DataFrame:
     """Each task's n best unseen items of its own items, for the heavy users.
 
     There are at most nnz / heavy_seen such users; they travel in chunks of a
-    fixed number. An item comes with the heavy users that have seen it, so a
-    task needs one pass over its items and keeps n scores per user.
+    fixed number, and every chunk writes its part of one table. An item comes
+    with the heavy users that have seen it, so a task needs one pass over its
+    items and keeps n scores per user.
     """
+    spark = heavy.sparkSession
     factors = model.userFactors.select(F.col("id").cast("bigint").alias("u_idx"), "features")
     chosen = pinned(heavy.select("u_idx").join(factors, "u_idx"))
-    chunks = -(-chosen.count() // HEAVY_CHUNK)
-    numbered = pinned(chosen.withColumn("_chunk", F.pmod(F.hash("u_idx"), F.lit(max(chunks, 1)))))
-    items = model.itemFactors.select(F.col("id").cast("bigint").alias("i_idx"), "features")
-
-    result = None
-    for chunk in range(max(chunks, 1)):
+    chunks = max(1, ceil(chosen.count() / HEAVY_CHUNK))
+    numbered = chosen.withColumn("_chunk", F.pmod(F.hash("u_idx"), F.lit(chunks)))
+    items = pinned(
+        model.itemFactors.select(F.col("id").cast("bigint").alias("i_idx"), "features")
+    )
+    path = new_folder(spark, "heavy")
+    for chunk in range(chunks):
         members = numbered.filter(F.col("_chunk") == chunk)
         rows = members.orderBy("u_idx").collect()
-        if not rows:
-            continue
         ids = np.array([r.u_idx for r in rows], dtype=np.int64)
         matrix = np.array([r.features for r in rows], dtype=np.float32)
         seen_by = (
@@ -136,11 +141,12 @@ def _heavy_scores(model: ALSModel, heavy: DataFrame, seen: DataFrame, n: int) ->
             .groupBy("i_idx")
             .agg(F.collect_set("u_idx").alias("seen_by"))
         )
-        scored = items.join(seen_by, "i_idx", "left").mapInPandas(
-            _masked_top_n(ids, matrix, n), "u_idx bigint, i_idx bigint, score double"
-        )
-        result = scored if result is None else result.unionByName(scored)
-    return result
+        scored = items.join(seen_by, "i_idx", "left")
+        if rows:
+            scored.mapInPandas(_masked_top_n(ids, matrix, n), SCORED).write.parquet(
+                f"{path}/chunk={chunk}"
+            )
+    return spark.read.schema(SCORED).parquet(path).select("u_idx", "i_idx", "score")
 
 
 def _masked_top_n(ids: np.ndarray, matrix: np.ndarray, n: int):

@@ -10,6 +10,7 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from rastro.functions.columns import squared_distance
 from rastro.operators.split import sample_users
@@ -72,8 +73,13 @@ def fit_centers(
         model = kmeans.fit(vectors)
         return model.summary.trainingCost, number, [c.tolist() for c in model.clusterCenters()]
 
-    with ThreadPool(min(parallel, starts)) as pool:
-        fits = pool.map(start, range(starts))
+    # One cached copy for all starts; each would keep its own otherwise.
+    vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        with ThreadPool(min(parallel, starts)) as pool:
+            fits = pool.map(start, range(starts))
+    finally:
+        vectors.unpersist()
     return sorted_centers(min(fits, key=lambda fit: fit[:2])[2])
 
 
@@ -100,7 +106,11 @@ def assign_nearest(
 def label_users(
     features: DataFrame, centers: list[list[float]], columns: list[str] | None = None
 ) -> DataFrame:
-    """The user features as they came, plus ``cluster``."""
+    """The user features as they came, plus ``cluster``.
+
+    ``features`` is read twice, for its means and for its rows: pass a written
+    or pinned table.
+    """
     columns = FEATURE_COLUMNS if columns is None else columns
     raw = {f"_raw_{c}": F.col(c) for c in columns}
     prepared = prepared_features(features.withColumns(raw), columns)

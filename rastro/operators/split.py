@@ -32,7 +32,8 @@ def events_of_active_users(events: DataFrame, min_events: int = 2) -> DataFrame:
     A semi join instead of a count window: no task has to hold all the events
     of one user.
     """
-    return events.join(active_users(events, min_events), "visitorid", "left_semi")
+    active = active_users(events, min_events)
+    return events.join(active, "visitorid", "left_semi").select(*events.columns)
 
 
 def leave_one_out_test(events: DataFrame, min_events: int = 2) -> DataFrame:

@@ -6,19 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_events(df: DataFrame, path: str, max_records: int = 5_000_000) -> str:
+def write_events(df: DataFrame, path: str) -> str:
     """Transformed events, one folder per weekday.
 
-    Rows are not shuffled to the weekday they belong to: seven keys would put
-    the whole log into seven tasks. A task writes up to seven files instead, and
-    large ones roll over at ``max_records``.
+    A plain shuffle on the weekday would put the log into seven tasks, and none
+    at all would leave seven small files per task. Rebalancing gathers each
+    weekday and cuts it into parts of the advisory size.
     """
-    (
-        df.write.mode("errorifexists")
-        .option("maxRecordsPerFile", max_records)
-        .partitionBy("dia_semana")
-        .parquet(path)
-    )
+    balanced = df.hint("rebalance", F.col("dia_semana"))
+    balanced.write.mode("errorifexists").partitionBy("dia_semana").parquet(path)
     return path
 
 
