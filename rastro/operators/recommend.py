@@ -21,7 +21,7 @@ CELLS_PER_BLOCK = 1_000_000
 HEAVY_SEEN = 4096
 HEAVY_CHUNK = 2048
 # Over-fetch steps: each user fetches N plus the next step above what it has seen.
-FETCH_STEPS = (8, 64, 512, HEAVY_SEEN)
+FETCH_STEPS = (16, 64, 128, 256, 512, 1024, 2048, HEAVY_SEEN)
 SCORED = "u_idx bigint, i_idx bigint, score double"
 
 
