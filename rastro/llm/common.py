@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -138,6 +140,18 @@ def summed_vectors(parts: DataFrame, key: str = "chunk", value: str = "values")
     return summed.select(key, vector_to_array("_s").alias(value))
 
 
+def reachable(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver has it.
+
+    For sessions on one machine that were not started with the package on PYTHONPATH; on a
+    cluster it comes with spark-submit (--py-files) or is installed.
+    """
+    environment, here = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if here not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([here, *filter(None, paths)])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -150,6 +164,7 @@ __all__ = [
     "grams",
     "mixed",
     "pinned",
+    "reachable",
     "read",
     "slices",
     "summed_vectors",

@@ -7,8 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rastro.llm import packing, token_counts, topk, url_rules
-from rastro.llm.common import read
+from rastro.llm import (
+    decontamination,
+    html_text,
+    language,
+    packing,
+    quality,
+    token_counts,
+    topk,
+    url_rules,
+)
+from rastro.llm.common import reachable, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,12 +42,21 @@ def vocabulary() -> str:
 
 def query(name: str):
     def register(function):
-        QUERIES[name] = function
-        return function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            reachable(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
+        return run
 
     return register
 
 
+@query("op2_html_extraction")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 @query("op3_url_filters")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.match_urls(read(spark, sf_dir, "pages"), URL_RULES)
@@ -70,6 +88,64 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+@query("op5_quality_classifier")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(read(spark, sf_dir, "documents"))
+
+
+@query("op7_decontamination")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+ORACLE["op7_decontamination"] = r"""
+WITH lowered AS (
+    SELECT doc_id, row_number() OVER () AS n,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents),
+docs AS (
+    SELECT doc_id, n, regexp_extract_all(t, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM lowered),
+items AS (
+    SELECT coalesce(item_id::VARCHAR, 'null') AS item_id,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+item_windows AS (
+    SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win
+    FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i
+          FROM (SELECT *, least(13, len(w)) AS k FROM items WHERE len(w) > 0))),
+doc_windows AS (
+    SELECT n, i, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win
+    FROM (SELECT n, w, k, unnest(range(1, len(w) - k + 2)) AS i
+          FROM docs, (SELECT DISTINCT k FROM item_windows) WHERE len(w) >= k)),
+hits AS (SELECT n, i, k, item_id FROM doc_windows JOIN item_windows USING (k, win)),
+words AS (SELECT n, count(DISTINCT p) AS n_hit
+          FROM (SELECT n, unnest(range(i, i + k)) AS p FROM hits) GROUP BY n),
+found AS (SELECT n, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT n, item_id FROM hits) GROUP BY n)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit > 0 AND 20 * n_hit >= len(w), false) AS contaminated
+FROM docs LEFT JOIN words USING (n) LEFT JOIN found USING (n)
+"""
+
+
 @query("op8_token_counts")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = token_counts.prefix_tables(read(spark, sf_dir, "documents"), vocabulary())
