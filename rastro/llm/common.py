@@ -126,6 +126,16 @@ def with_keys(df: DataFrame, keys: DataFrame, name: str, rows: int) -> DataFrame
     return df.join(F.broadcast(keys) if rows <= BROADCAST_KEYS else keys, name, "left_semi")
 
 
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Documents whose doc_id is not among the ids of ``gone``, all columns and their order kept.
+
+    Rows without an id stay: nothing names them.
+    """
+    keys = pinned(gone.select(F.col("doc_id").alias("_gone")).filter("_gone IS NOT NULL").distinct())
+    small = keys.count() <= BROADCAST_KEYS
+    return docs.join(F.broadcast(keys) if small else keys, docs["doc_id"] == keys["_gone"], "left_anti")
+
+
 def summed_vectors(parts: DataFrame, key: str = "chunk", value: str = "values") -> DataFrame:
     """Element-wise sum of arrays by key, added up inside tasks before the shuffle.
 
@@ -170,4 +180,5 @@ __all__ = [
     "summed_vectors",
     "text_bytes",
     "with_keys",
+    "without",
 ]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rastro.llm.common import ALPHANUMERIC, Words, grams, slices, text_bytes
+from rastro.llm.common import ALPHANUMERIC, Words, grams, slices, text_bytes, without
 
 #: Words of a shared span; k-grams of K words in windows of WINDOW of them guarantee it.
 SPAN, K = 13, 6
@@ -244,6 +244,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, one_in: int = 20) -> Da
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, one_in: int = 20) -> DataFrame:
     """The documents that are not contaminated, all their columns kept."""
-    bad = contamination(docs, benchmark, one_in).filter("contaminated").select("doc_id").distinct()
-    known = docs.filter(F.col("doc_id").isNotNull()).join(bad, "doc_id", "left_anti")
-    return known.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    return without(docs, contamination(docs, benchmark, one_in).filter("contaminated"))

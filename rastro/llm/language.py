@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastro.llm.common import SLICE, slices, text_bytes
+from rastro.llm.common import SLICE, slices, text_bytes, without
 from rastro.llm.folds import held_out, sampled
 
 #: Vector places, n-gram lengths and centroids for each language.
@@ -207,3 +207,8 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
         F.col("doc_id").cast("long"), held_out("doc_id", PARTS, PART).alias("held_out"), "text"
     )
     return given.mapInArrow(judge, RESULT)
+
+
+def recognised(docs: DataFrame) -> DataFrame:
+    """The documents that are not rejected, all their columns kept."""
+    return without(docs, identify(docs).filter("rejected"))

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastro.llm.common import text_bytes
+from rastro.llm.common import text_bytes, without
 from rastro.llm.folds import held_out, sampled
 
 #: Labelled texts of each class that are learned from, chosen by hash, and the bytes of the
@@ -175,3 +175,8 @@ def quality(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> D
         F.col("doc_id").cast("long"), held_out("doc_id", PARTS, PART).alias("held_out"), "text"
     )
     return given.mapInArrow(score, RESULT)
+
+
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that are not scored below ACCEPTED, all their columns kept."""
+    return without(docs, quality(docs, labels).filter("predicted = 0"))

@@ -11,6 +11,7 @@ from rastro.llm import (
     decontamination,
     html_text,
     language,
+    ngram_join,
     packing,
     quality,
     token_counts,
@@ -52,6 +53,39 @@ def query(name: str):
     return register
 
 
+@query("op1_ngram_jaccard_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op1_ngram_jaccard_join"] = r"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, list_filter(
+        regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+shingles AS MATERIALIZED (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * k >= 80 * (x.n + y.n - k)),
+ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(v, r) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT ways.b, reach.r FROM reach JOIN ways ON ways.a = reach.v AND reach.r < ways.b)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT v AS doc_id, min(r) AS component_id FROM reach GROUP BY v) c USING (doc_id)
+"""
+
+
 @query("op2_html_extraction")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
