@@ -11,6 +11,7 @@ from rastro.llm import (
     decontamination,
     html_text,
     language,
+    language_model,
     ngram_join,
     packing,
     quality,
@@ -122,6 +123,11 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fit
 """
 
 
+@query("op4_lm_scoring")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.likelihood(read(spark, sf_dir, "documents"))
+
+
 @query("op5_quality_classifier")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
