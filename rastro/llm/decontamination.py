@@ -161,11 +161,9 @@ def shared_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _meet(docs: DataFrame, shared) -> DataFrame:
     def meet(batches):
-        from pyspark import TaskContext
-
-        index, row = shared.value, TaskContext.get().partitionId() << 33
+        index = shared.value
         for batch in batches:
-            data, places = text_bytes(batch.column(1))
+            data, places = text_bytes(batch.column(2))
             for low, high in slices(places):
                 own = places[low : high + 1]
                 words = Words(data[own[0] : own[-1]], own - own[0], ALPHANUMERIC)
@@ -195,16 +193,16 @@ def _meet(docs: DataFrame, shared) -> DataFrame:
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.arange(row, row + high - low), pa.int64()),
                         batch.column(0).slice(low, high - low),
+                        batch.column(1).slice(low, high - low),
                         pa.array(np.diff(words.of), pa.int64()),
                         pa.array(spans, kind),
                     ],
                     names=["row", "doc_id", "n_words", "spans"],
                 )
-                row += high - low
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(meet, HITS)
+    numbered = docs.select(F.monotonically_increasing_id(), F.col("doc_id").cast("long"), "text")
+    return numbered.mapInArrow(meet, HITS)
 
 
 def covered(spans: Column) -> Column:
