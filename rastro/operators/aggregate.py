@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rastro.schemas import FEATURE_COLUMNS, PROFILE_OUTLIER
+from rastro.schemas import FEATURE_COLUMNS
 
 PROFILE_COLUMNS = [c for c in FEATURE_COLUMNS if c != "peso_total"]
 
@@ -48,10 +48,13 @@ def interactions(events: DataFrame) -> DataFrame:
 
 def matrix_density(cells: DataFrame) -> DataFrame:
     """Users, items, non-zero cells and the share of the matrix they fill."""
-    totals = cells.agg(
-        F.count_distinct("visitorid").alias("usuarios"),
-        F.count_distinct("itemid").alias("productos"),
-        F.count(F.lit(1)).alias("nnz"),
+    # Two groupings and not two distinct counts at once, which would copy every cell.
+    users = cells.groupBy("visitorid").agg(F.count(F.lit(1)).alias("n"))
+    items = cells.groupBy("itemid").agg(F.lit(1).alias("n"))
+    totals = users.agg(
+        F.count("visitorid").alias("usuarios"), F.coalesce(F.sum("n"), F.lit(0)).alias("nnz")
+    ).select(
+        "usuarios", items.agg(F.count("itemid")).scalar().alias("productos"), "nnz"
     )
     whole = F.col("usuarios").cast("double") * F.col("productos")
     density = F.coalesce(F.try_divide(100.0 * F.col("nnz"), whole), F.lit(0.0))
@@ -101,17 +104,18 @@ def cluster_profile(segments: DataFrame, columns: list[str] | None = None) -> Da
 
 
 def scaled_profile(
-    profile: DataFrame, columns: list[str] | None = None, outlier: int = PROFILE_OUTLIER
+    profile: DataFrame, columns: list[str] | None = None, outlier: int | None = None
 ) -> DataFrame:
     """Profiles of the ordinary clusters, each column moved to 0…1.
 
-    The outlier cluster is left out, as it would flatten the others. A column
-    without spread gives 0. The input has one row per cluster, so one window may
+    The outlier cluster is left out, as it would flatten the others: the most active one, which
+    has the highest label, unless another is named. A column without spread gives 0. The input has one row per cluster, so one window may
     hold all of it.
     """
     columns = PROFILE_COLUMNS if columns is None else columns
-    ordinary = profile.filter(F.col("cluster") != outlier)
     every = Window.partitionBy()
+    left_out = F.max("cluster").over(every) if outlier is None else F.lit(outlier)
+    ordinary = profile.withColumn("_out", left_out).filter("cluster <> _out")
 
     def scaled(c: str):
         low, high = F.min(c).over(every), F.max(c).over(every)

@@ -5,19 +5,23 @@ so the sample depends on nothing but the data, the seed and the epoch. Draws of
 seen items are rejected and the first ``n`` that are left count, in the order of
 the tries, with replacement.
 
-Draws can be computed again at any time and few are rejected. So only (positive,
-user, item, try) meets the seen pairs, and only the rejected tries come back.
+Every try is a row and meets the seen pairs on (user, item), so a user with very
+many positives is spread over the items, and no list of tries is ever built. The
+few pairs whose user has seen nearly all items draw from the unseen items
+themselves.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rastro.functions.columns import hash_int
+from rastro.functions.running import row_rank, running_total
 from rastro.session import pinned, spread
 
-TRIES_PER_NEGATIVE = 10
 DRAWS_PER_TASK = 10_000_000
 
 
@@ -31,55 +35,45 @@ def _numbered(positives: DataFrame, key: list[str], tries: int) -> DataFrame:
     return pinned(even.withColumn("_pos", F.monotonically_increasing_id()))
 
 
-def _with_accepted(
+def _column(value: Column | int) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
+def _round(
     wanted: DataFrame,
     seen: DataFrame,
     n_items: Column | int,
     key: list[str],
     seed: int,
     epoch: int,
-    first: int,
-    last: int,
+    tries: tuple[int, int],
     true_item: str | None = None,
-) -> DataFrame:
-    """Add ``_accepted``: per positive the tries first … last−1 that hit an unseen item.
-
-    Draws meet the seen pairs on (user, item), which spreads a user with very
-    many positives over the items.
-    """
-    tries = F.sequence(F.lit(first), F.lit(last - 1))
-    drawn = wanted.withColumn("_try", F.explode(tries)).withColumn(
-        "_item", _item(n_items, key, seed, epoch, F.col("_try"))
-    )
-    pairs = seen.select("u_idx", F.col("i_idx").alias("_item"))
-    rejected = drawn.select("_pos", "_try", "u_idx", "_item").join(
-        pairs, ["u_idx", "_item"], "left_semi"
-    )
+) -> tuple[DataFrame, DataFrame]:
+    """(chosen, short): the first ``_missing`` unseen items of each positive among these
+    tries, as ``neg_idx``, and the positives that miss some still."""
+    first, last = tries
+    drawn = wanted.withColumn("_try", F.explode(F.sequence(F.lit(first), F.lit(last - 1))))
+    drawn = drawn.withColumn("neg_idx", _item(n_items, key, seed, epoch, F.col("_try")))
+    pairs = seen.select("u_idx", F.col("i_idx").alias("neg_idx"))
+    unseen = drawn.join(pairs, ["u_idx", "neg_idx"], "left_anti")
     if true_item:
-        own = drawn.filter(F.col("_item") == F.col(true_item))
-        rejected = rejected.unionByName(own.select(*rejected.columns))
-    # At most last−first entries per positive.
-    lists = rejected.groupBy("_pos").agg(F.collect_set("_try").alias("_rejected"))
-    nothing = F.array().cast("array<int>")
-    accepted = F.filter(
-        tries, lambda t: ~F.array_contains(F.coalesce("_rejected", nothing), t)
+        unseen = unseen.filter(F.col("neg_idx") != F.col(true_item))
+    # At most last - first rows for a positive.
+    order = Window.partitionBy("_pos").orderBy("_try")
+    placed = unseen.withColumn("_place", F.row_number().over(order))
+    chosen = pinned(
+        placed.filter(F.col("_place") <= F.col("_missing")).select("_pos", "u_idx", "i_idx", "neg_idx")
     )
-    joined = wanted.join(pinned(lists), "_pos", "left")
-    return joined.withColumn("_accepted", accepted).drop("_rejected")
+    found = chosen.groupBy("_pos").agg(F.count(F.lit(1)).alias("_found"))
+    left = F.col("_missing") - F.coalesce("_found", F.lit(0))
+    short = wanted.join(found, "_pos", "left").withColumn("_missing", left).drop("_found")
+    return chosen, pinned(short.filter("_missing > 0"))
 
 
 def _item(n_items: Column | int, key: list[str], seed: int, epoch: int, attempt: Column) -> Column:
     drawn = hash_int(F.lit(seed), F.lit(epoch), *[F.col(c) for c in key], attempt)
     # Never null, and seen to be so: else a join computes it twice, to filter nulls.
-    return F.coalesce(F.pmod(drawn, F.lit(n_items).cast("bigint")), F.lit(-1))
-
-
-def _first_items(
-    accepted: DataFrame, n: Column, n_items: Column | int, key: list[str], seed: int, epoch: int
-) -> DataFrame:
-    """One row per chosen try, with the drawn item as ``neg_idx``."""
-    chosen = accepted.withColumn("_try", F.explode(F.slice("_accepted", F.lit(1), n)))
-    return chosen.withColumn("neg_idx", _item(n_items, key, seed, epoch, F.col("_try")))
+    return F.coalesce(F.pmod(drawn, _column(n_items).cast("bigint")), F.lit(-1))
 
 
 def training_negatives(
@@ -90,25 +84,29 @@ def training_negatives(
     n: int = 4,
     seed: int = 42,
     epoch: int = 0,
+    tries_per_negative: int = 10,
 ) -> DataFrame:
-    """Up to n unseen items per positive, from at most 10·n tries each.
+    """Up to n unseen items per positive, from at most ``tries_per_negative`` · n tries each.
 
     The first 2·n tries are enough for nearly every positive. The others, whose
-    users have seen much of the catalogue, go on to the full number of tries.
+    users have seen much of the catalogue, go on to the full number of tries;
+    ``training_shortfall`` counts what they miss then.
     """
-    wanted = _numbered(positives, key, 2 * n)
-    early = _with_accepted(wanted, seen, n_items, key, seed, epoch, 0, 2 * n)
-    missing = F.lit(n) - F.size("_accepted")
-    short = pinned(
-        early.filter(missing > 0).withColumn("_missing", missing).drop("_accepted")
+    wanted = _numbered(positives, key, 2 * n).withColumn("_missing", F.lit(n))
+    early, late = min(2, tries_per_negative) * n, tries_per_negative * n
+    kept, short = _round(wanted, seen, n_items, key, seed, epoch, (0, early))
+    if late > early:
+        kept = kept.unionByName(_round(short, seen, n_items, key, seed, epoch, (early, late))[0])
+    return kept.select("u_idx", F.col("neg_idx").alias("i_idx"))
+
+
+def training_shortfall(pairs: DataFrame, n: int = 4) -> DataFrame:
+    """(positivos, negativos, faltan): how many negatives the tries did not find."""
+    counts = pairs.agg(
+        F.count_if(F.col("label") == 1).alias("positivos"),
+        F.count_if(F.col("label") == 0).alias("negativos"),
     )
-    late = _with_accepted(
-        short, seen, n_items, key, seed, epoch, 2 * n, TRIES_PER_NEGATIVE * n
-    )
-    kept = _first_items(early, F.lit(n), n_items, key, seed, epoch)
-    more = _first_items(late, F.col("_missing"), n_items, key, seed, epoch)
-    columns = ["u_idx", F.col("neg_idx").alias("i_idx")]
-    return kept.select(*columns).unionByName(more.select(*columns))
+    return counts.withColumn("faltan", F.lit(n) * F.col("positivos") - F.col("negativos"))
 
 
 def training_pairs(
@@ -119,14 +117,18 @@ def training_pairs(
     n: int = 4,
     seed: int = 42,
     epoch: int = 0,
+    tries_per_negative: int = 10,
 ) -> DataFrame:
     """Positives with label 1 and their sampled negatives with label 0.
 
-    ``positives`` and ``seen`` are pinned tables with u_idx and i_idx. ``key`` names the columns that tell one positive from another. Positives are
-    events of a cleaned log, so a pair that repeats draws anew each time.
+    ``positives`` and ``seen`` are pinned tables with u_idx and i_idx. ``key`` names the
+    columns that tell one positive from another. Positives are events of a cleaned log, so a
+    pair that repeats draws anew each time.
     """
     ones = positives.select("u_idx", "i_idx", F.lit(1.0).alias("label"))
-    negatives = training_negatives(positives, seen, n_items, key, n, seed, epoch)
+    negatives = training_negatives(
+        positives, seen, n_items, key, n, seed, epoch, tries_per_negative
+    )
     zeros = negatives.withColumn("label", F.lit(0.0))
     return ones.unionByName(zeros).withColumn("epoch", F.lit(epoch))
 
@@ -140,29 +142,57 @@ def evaluation_negatives(
 ) -> DataFrame:
     """Exactly n unseen items, none the true one, per (user, true item).
 
-    Tries go on, more each round, for the pairs that are still short; nearly all
-    have enough after the first. A user who has seen every other item has
-    nothing to draw and is left out.
+    Two rounds of tries, 2·n and 4·n, are enough for users who have seen no more than about
+    four fifths of the items. What is missing then is drawn from the unseen items themselves:
+    draw d takes the unseen item with number ``hash(seed, 0, pair, 6·n + d) mod unseen``, in
+    the order of the items. A user who has seen every other item has nothing to draw and is
+    left out.
     """
     key = ["u_idx", "i_idx"]
     seen = seen.select(*key)
     seen_counts = seen.groupBy("u_idx").agg(F.count(F.lit(1)).alias("_n_seen"))
     with_true = test_pairs.select(*key).join(seen.withColumn("_known", F.lit(1)), key, "left")
     taken = F.coalesce("_n_seen", F.lit(0)) + F.when(F.col("_known").isNull(), 1).otherwise(0)
-    drawable = with_true.join(seen_counts, "u_idx", "left").filter(taken < F.lit(n_items))
-    wanted = _numbered(pinned(drawable), key, 2 * n).withColumn("_missing", F.lit(n))
-
-    first, last, sample = 0, 2 * n, None
-    while True:
-        accepted = _with_accepted(wanted, seen, n_items, key, seed, 0, first, last, "i_idx")
-        found = _first_items(accepted, F.col("_missing"), n_items, key, seed, 0).select(
-            "u_idx", "i_idx", "neg_idx"
-        )
-        sample = found if sample is None else sample.unionByName(found)
-        missing = F.col("_missing") - F.size("_accepted")
-        short = pinned(
-            accepted.withColumn("_missing", missing).filter("_missing > 0").drop("_accepted")
-        )
-        if short.isEmpty():
-            return sample
-        wanted, first, last = short, last, 3 * last
+    drawable = (
+        with_true.join(seen_counts, "u_idx", "left")
+        .withColumn("_unseen", _column(n_items) - taken)
+        .filter("_unseen > 0")
+    )
+    wanted = _numbered(pinned(drawable), [*key, "_unseen"], 2 * n).withColumn("_missing", F.lit(n))
+    first, short = _round(wanted, seen, n_items, key, seed, 0, (0, 2 * n), "i_idx")
+    second, hard = _round(short, seen, n_items, key, seed, 0, (2 * n, 6 * n), "i_idx")
+    tables = [first, second, _from_unseen(hard, seen, key, seed, 6 * n)]
+    return reduce(DataFrame.unionByName, [t.select(*key, "neg_idx") for t in tables])
+
+
+def _from_unseen(hard: DataFrame, seen: DataFrame, key: list[str], seed: int, first: int) -> DataFrame:
+    """Draws of the pairs that are short: numbers of unseen items, turned into items.
+
+    The k-th unseen item is k plus the number of taken items in front of it, and item number r
+    of those taken, i, is in front of the unseen ones from number i - r on. So sorting draws
+    and taken items of a pair together, a running count gives the items; it is split for
+    pairs with very many.
+    """
+    own = hard.select("_pos", F.col("i_idx").alias("item"))
+    taken = hard.select("_pos", "u_idx").join(
+        seen.select("u_idx", F.col("i_idx").alias("item")), "u_idx"
+    )
+    taken = pinned(taken.select("_pos", "item").unionByName(own).distinct())
+    ranked = row_rank(taken, ["_pos"], [F.col("item").asc()], "_rank")
+    marks = ranked.select(
+        "_pos", (F.col("item") - F.col("_rank") + 1).alias("_at"), F.lit(0).alias("_kind"),
+        F.col("item").cast("bigint").alias("_tie"), F.lit(1).cast("bigint").alias("_taken"),
+    )
+    draw = F.explode(F.sequence(F.lit(0), F.col("_missing") - 1))
+    drawn = hard.select("*", draw.alias("_draw")).withColumn(
+        "_at", _item(F.col("_unseen"), key, seed, 0, F.col("_draw") + first)
+    )
+    draws = drawn.select(
+        "_pos", "_at", F.lit(1).alias("_kind"), F.col("_draw").cast("bigint").alias("_tie"),
+        F.lit(0).cast("bigint").alias("_taken"),
+    )
+    order = [F.col(c).asc() for c in ("_at", "_kind", "_tie")]
+    together = pinned(marks.unionByName(draws))
+    counted = running_total(together, ["_pos"], order, F.col("_taken"), "_before")
+    items = counted.filter("_kind = 1").select("_pos", (F.col("_at") + F.col("_before")).alias("neg_idx"))
+    return items.join(hard.select("_pos", *key), "_pos")

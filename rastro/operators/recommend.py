@@ -15,7 +15,8 @@ from rastro.functions.columns import dot
 from rastro.operators.split import sample_users
 from rastro.session import new_folder, pinned, shared_folder
 
-MIN_BLOCKS, MAX_BLOCKS = 10, 2000
+MIN_BLOCKS = 10
+MAX_INDEX = 2**31 - 1
 CELLS_PER_BLOCK = 1_000_000
 # A user with more seen items than this is ranked by the masked scan.
 HEAVY_SEEN = 4096
@@ -41,9 +42,12 @@ def fit_als(
     """
     spark = cells.sparkSession
     shared_folder(spark)
+    largest = cells.agg(F.greatest(F.max("u_idx"), F.max("i_idx"))).first()[0]
+    if largest is not None and largest > MAX_INDEX:
+        raise ValueError(f"index {largest}: the model takes indices up to {MAX_INDEX}")
     if blocks is None:
         # Blocks exchange factors pairwise, so their number follows the data, not the cores.
-        blocks = min(MAX_BLOCKS, max(MIN_BLOCKS, ceil(cells.count() / CELLS_PER_BLOCK)))
+        blocks = max(MIN_BLOCKS, ceil(cells.count() / CELLS_PER_BLOCK))
     als = ALS(
         rank=factors,
         maxIter=iterations,

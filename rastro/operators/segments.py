@@ -132,11 +132,13 @@ def segment_users(
 
 
 def project_2d(
-    segments: DataFrame, n: int = 50_000, seed: int = 42, columns: list[str] | None = None
+    segments: DataFrame, n: int | None = None, seed: int = 42, columns: list[str] | None = None
 ) -> DataFrame:
-    """Two principal components of a seeded sample of users, for a plane map."""
+    """Two principal components of all users, for a plane map; of a seeded sample of ``n``."""
     columns = FEATURE_COLUMNS if columns is None else columns
-    sampled = segments.join(sample_users(segments, n, seed), "visitorid", "left_semi")
+    sampled = segments
+    if n is not None:
+        sampled = segments.join(sample_users(segments, n, seed), "visitorid", "left_semi")
     prepared = log_features(sampled, columns)
     vectors = VectorAssembler(inputCols=columns, outputCol="vector").transform(prepared)
     model = PCA(k=2, inputCol="vector", outputCol="plane").fit(vectors)

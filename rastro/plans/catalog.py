@@ -24,7 +24,7 @@ from rastro.operators import transform as tr
 from rastro.plans import adapters as ad
 from rastro.plans import fixed
 from rastro.plans.pipeline import index_train, recommend_all
-from rastro.schemas import EVENTS, FEATURE_COLUMNS
+from rastro.schemas import CLUSTER_NAMES, EVENTS, FEATURE_COLUMNS
 from rastro.session import new_folder, pinned
 from rastro.sources import files, sinks, tables
 
@@ -39,8 +39,6 @@ TEST_USERS = 1000
 TRAIN_NEGATIVES = 4
 EVAL_NEGATIVES = 99
 FACTORS = 64
-# Epochs over the 5-to-1 training pairs; the default of the operator is 100.
-RANKER_ITERATIONS = 30
 
 
 def query(name: str):
@@ -93,18 +91,29 @@ def src_detect_sep(spark, sf):
 
 
 def write_log_files(spark, sf):
-    """Views in a comma file, the other events in a spreadsheet file."""
-    log = raw_log(spark, sf)
-    plain = sinks.write_csv(log.filter(F.col("event") == "view"), new_folder(spark, "log-comma"))
+    """One folder: views in comma files, the others, with columns in another order, in
+    spreadsheet files."""
+    log, path = raw_log(spark, sf), new_folder(spark, "log")
+    sinks.write_csv(log.filter(F.col("event") == "view"), path)
     text = log.filter(F.col("event") != "view").withColumn(
         "timestamp", ad.spreadsheet_text(F.col("timestamp"), 12)
     )
-    return plain, sinks.write_csv(text, new_folder(spark, "log-semicolon"), ";")
+    mixed = text.select(*reversed(EVENTS.fieldNames()))
+    return sinks.write_csv(mixed, path, ";", "append")
 
 
 @query("src_events_csv")
 def src_events_csv(spark, sf):
-    return files.read_events(spark, *write_log_files(spark, sf))
+    return files.read_events(spark, write_log_files(spark, sf))
+
+
+@query("src_malformed")
+def src_malformed(spark, sf):
+    """Views in a file of their own, where every order below 50 is no number."""
+    log = raw_log(spark, sf).filter(F.col("event") == "view")
+    item = F.when(F.col("itemid") < 50, F.lit("n/a")).otherwise(F.col("itemid").cast("string"))
+    path = sinks.write_csv(log.withColumn("itemid", item), new_folder(spark, "log"))
+    return files.count_malformed(spark, path)
 
 
 @query("src_excel_ts")
@@ -270,7 +279,7 @@ def tr_events(spark, sf):
 
 @query("tr_cluster_name")
 def tr_cluster_name(spark, sf):
-    named = tr.name_clusters(segments_of(spark, sf))
+    named = tr.name_clusters(segments_of(spark, sf), CLUSTER_NAMES)
     return named.select("visitorid", "cluster", "cluster_nombre")
 
 
@@ -533,7 +542,6 @@ class Fitted:
             self.als.userFactors,
             self.als.itemFactors,
             FACTORS,
-            RANKER_ITERATIONS,
         )
 
     @cached_property
@@ -594,6 +602,19 @@ def rec_neg_eval(spark, sf):
     return fitted(spark, sf).eval_negatives
 
 
+@query("rec_neg_shortfall")
+def rec_neg_shortfall(spark, sf):
+    return ng.training_shortfall(fitted(spark, sf).training_pairs(), TRAIN_NEGATIVES)
+
+
+@query("rec_neg_epochs")
+def rec_neg_epochs(spark, sf):
+    """Negatives of two epochs, each drawn anew."""
+    fit = fitted(spark, sf)
+    epochs = [fit.training_pairs(epoch).filter("label = 0") for epoch in (0, 1)]
+    return epochs[0].unionByName(epochs[1]).select("u_idx", "i_idx", "epoch")
+
+
 @query("rec_neural_rank")
 def rec_neural_rank(spark, sf):
     """Scores of the second ranker for every test pair."""

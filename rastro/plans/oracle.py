@@ -17,7 +17,7 @@ from rastro.plans.catalog import (
     TRAIN_NEGATIVES,
 )
 from rastro.plans.fixed import FIXED_CENTERS
-from rastro.schemas import CLUSTER_NAMES, EVENT_WEIGHTS, FEATURE_COLUMNS, PROFILE_OUTLIER
+from rastro.schemas import CLUSTER_NAMES, EVENT_WEIGHTS, FEATURE_COLUMNS
 
 
 def _quoted(values) -> str:
@@ -173,16 +173,28 @@ TRAIN_NEG = f""",
   first_ones AS (SELECT u_idx, drawn AS i_idx, row_number() OVER
       (PARTITION BY u_idx, i_idx, "timestamp", event, tx ORDER BY t) AS place FROM accepted)"""
 
+# Two rounds of tries, then draws from the unseen items themselves.
 EVAL_NEG = f""",
   tries AS (SELECT u_idx, i_idx, t, {_hash("42", "0", "u_idx", "i_idx", "t")}
       % {_N_ITEMS} AS neg_idx
-    FROM pairs, range({10 * EVAL_NEGATIVES}) r(t)),
+    FROM pairs, range({6 * EVAL_NEGATIVES}) r(t)),
   accepted AS (SELECT tries.* FROM tries
     ANTI JOIN seen_idx ON tries.u_idx = seen_idx.u_idx AND neg_idx = seen_idx.i_idx
     WHERE neg_idx <> i_idx),
-  eval_neg AS (SELECT u_idx, i_idx, neg_idx FROM (SELECT *, row_number() OVER
+  tried AS MATERIALIZED (SELECT u_idx, i_idx, neg_idx FROM (SELECT *, row_number() OVER
       (PARTITION BY u_idx, i_idx ORDER BY t) AS place FROM accepted)
-    WHERE place <= {EVAL_NEGATIVES})"""
+    WHERE place <= {EVAL_NEGATIVES}),
+  hard AS (SELECT u_idx, i_idx, {EVAL_NEGATIVES} - coalesce(n, 0) AS missing FROM pairs
+    LEFT JOIN (SELECT u_idx, i_idx, count(*) AS n FROM tried GROUP BY ALL) USING (u_idx, i_idx)
+    WHERE coalesce(n, 0) < {EVAL_NEGATIVES}),
+  unseen AS (SELECT h.u_idx, h.i_idx, missing, list(items.i_idx ORDER BY items.i_idx) AS left_over
+    FROM hard h, items WHERE items.i_idx <> h.i_idx AND NOT EXISTS
+      (SELECT 1 FROM seen_idx s WHERE s.u_idx = h.u_idx AND s.i_idx = items.i_idx)
+    GROUP BY ALL),
+  eval_neg AS (SELECT * FROM tried UNION ALL
+    SELECT u_idx, i_idx, left_over[1 + {_hash("42", "0", "u_idx", "i_idx", f"({6 * EVAL_NEGATIVES} + d)")}
+      % len(left_over)] AS neg_idx
+    FROM (SELECT *, unnest(range(missing)) AS d FROM unseen))"""
 
 
 def _factor_cte(name: str, key: str) -> str:
@@ -271,7 +283,7 @@ def _scaled_profile() -> str:
         for c in columns
     )
     return f"""SELECT cluster, {scaled} FROM (SELECT cluster, {means} FROM segments
-    WHERE cluster <> {PROFILE_OUTLIER} GROUP BY cluster)"""
+    WHERE cluster <> (SELECT max(cluster) FROM segments) GROUP BY cluster)"""
 
 
 def _rounded(table: str) -> str:
@@ -313,6 +325,10 @@ ORACLE: dict[str, str] = {
           > length(line) - length(replace(line, ',', '')) THEN ';' ELSE ',' END AS separador
         FROM (SELECT doc_id, split_part(text, chr(10), 1) AS line FROM documents)""",
     "src_events_csv": _on_events("SELECT * FROM log"),
+    "src_malformed": _on_events(
+        """SELECT count(*) AS filas, count(*) FILTER (itemid < 50) AS mal_formadas
+        FROM log WHERE event = 'view'"""
+    ),
     "src_excel_ts": _on_events(
         """SELECT "timestamp" AS exacto, CAST(CAST(substr(CAST("timestamp" AS VARCHAR), 1, 1)
         || '.' || substr(CAST("timestamp" AS VARCHAR), 2, 5) || 'E+12' AS DOUBLE) AS BIGINT)
@@ -435,6 +451,24 @@ ORACLE: dict[str, str] = {
         TRAIN_NEG,
     ),
     "rec_neg_eval": _on_train("SELECT * FROM eval_neg", EVAL_NEG),
+    "rec_neg_shortfall": _on_train(
+        f"""SELECT positivos, negativos, {TRAIN_NEGATIVES} * positivos - negativos AS faltan
+        FROM (SELECT (SELECT count(*) FROM positives) AS positivos,
+          (SELECT count(*) FROM first_ones WHERE place <= {TRAIN_NEGATIVES}) AS negativos)""",
+        TRAIN_NEG,
+    ),
+    "rec_neg_epochs": _on_train(
+        " UNION ALL ".join(
+            f"""SELECT u_idx, drawn AS i_idx, CAST({epoch} AS INTEGER) AS epoch
+            FROM (SELECT *, row_number() OVER (PARTITION BY u_idx, i_idx, "timestamp", event, tx
+              ORDER BY t) AS place FROM (SELECT positives.*, t,
+                {_hash("42", str(epoch), "u_idx", "i_idx", '"timestamp"', "event", "tx", "t")}
+                % {_N_ITEMS} AS drawn FROM positives, range({10 * TRAIN_NEGATIVES}) r(t)) tries
+              ANTI JOIN seen_idx ON tries.u_idx = seen_idx.u_idx AND drawn = seen_idx.i_idx)
+            WHERE place <= {TRAIN_NEGATIVES}"""
+            for epoch in (0, 1)
+        )
+    ),
     "rec_score_pairs": _on_train(
         f"""SELECT s.u_idx, s.i_idx, {_DOT} AS score FROM seen_idx s
         JOIN uf ON s.u_idx = uf.u_idx JOIN vf ON s.i_idx = vf.i_idx""",
@@ -469,7 +503,7 @@ ORACLE: dict[str, str] = {
   neg_scores AS (SELECT n.u_idx, n.i_idx, {_DOT} AS score FROM eval_neg n
     JOIN uf ON n.u_idx = uf.u_idx JOIN vf ON n.neg_idx = vf.i_idx),
   true_ranks AS (SELECT t.u_idx, t.i_idx, 1 + count(*) FILTER (n.score >= t.score) AS rank
-    FROM true_scores t LEFT JOIN neg_scores n ON t.u_idx = n.u_idx AND t.i_idx = n.i_idx
+    FROM true_scores t JOIN neg_scores n ON t.u_idx = n.u_idx AND t.i_idx = n.i_idx
     GROUP BY t.u_idx, t.i_idx)""",
     ),
     "eval_compare": _on_train(_compare(), _LISTS, _OTHERS),

@@ -16,6 +16,7 @@ FEATURE_COLUMNS = [
     "carritos",
     "compras",
 ]
+# Names of the labels of one published fit; fitted segments are named by their rank.
 CLUSTER_NAMES = {
     0: "Cluster 0 — Bajo/moderado",
     1: "Cluster 1 — Ocasional (1 interacción)",
@@ -24,13 +25,13 @@ CLUSTER_NAMES = {
     4: "Cluster 4 — Orientado a compra",
     5: "Cluster 5 — Actividad intermedia",
 }
-PROFILE_OUTLIER = 2
 MIN_TIMESTAMP_RATIO = 0.01
 MAX_REMOVED_RATIO = 0.02
 
 # Ties on the newest timestamp are broken by these columns, newest first.
 ROW_ORDER = ["timestamp", "itemid", "event", "transactionid"]
 
+# The column names of the raw files.
 EVENTS = T.StructType(
     [
         T.StructField("timestamp", T.LongType()),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,46 +33,120 @@ def resolve_path(spark: SparkSession, *candidates: str) -> str:
     raise FileNotFoundError(f"none of these paths exists: {', '.join(candidates)}")
 
 
-def detect_separator(spark: SparkSession, path: str) -> str:
-    """Separator of a CSV file or folder, from its first line only."""
-    first = spark.read.text(path).limit(1)
-    row = first.select(separator_of(F.col("value")).alias("separador")).first()
-    if row is None:
-        raise ValueError(f"{path} is empty")
-    return row.separador
+def first_lines(spark: SparkSession, *paths: str) -> DataFrame:
+    """(archivo, linea): the first line of every file that is not empty.
 
+    Tasks leave off after the first rows of their part, so large files are not read.
+    """
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("archivo"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        "value",
+    )
+
+    def firsts(batches):
+        last = None
+        for batch in batches:
+            names, starts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            new = [k for k, name in enumerate(names) if name != (names[k - 1] if k else last)]
+            picked = [k for k in new if starts[k] == 0]
+            last = names[-1] if names else last
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).take(pa.array(picked, pa.int64())) for c in (0, 2)],
+                names=["archivo", "linea"],
+            )
+
+    return lines.mapInArrow(firsts, "archivo string, linea string")
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """One CSV source, typed up front; columns are matched by position.
 
-    A semicolon file went through a spreadsheet, which writes the timestamp with
-    a decimal comma and an exponent.
+def detect_separator(spark: SparkSession, path: str) -> str:
+    """Separator of one CSV file, from its first line; files with several are refused."""
+    found = first_lines(spark, path).select(separator_of(F.col("linea")).alias("s")).distinct().collect()
+    if len(found) != 1:
+        raise ValueError(f"{path} is empty" if not found else f"{path} holds files of both kinds")
+    return found[0].s
+
+
+def _layouts(spark: SparkSession, paths: tuple[str, ...]) -> list[tuple[str, list[str], list[str]]]:
+    """(separator, columns, files) for each kind of file below the paths."""
+    lines = first_lines(spark, *paths)
+    kinds = (
+        lines.withColumn("sep", separator_of(F.col("linea")))
+        .groupBy("sep", "linea")
+        .agg(F.sort_array(F.collect_set("archivo")).alias("archivos"))
+        .orderBy("sep", "linea")
+    )
+    # As many rows as kinds; the driver lists the files of a source in any case.
+    found = []
+    for row in kinds.collect():
+        header = row.linea.lstrip("\ufeff").rstrip("\r")
+        names = [name.strip().strip('"').strip() for name in header.split(row.sep)]
+        found.append((row.sep, names, row.archivos))
+    if not found:
+        raise ValueError(f"{', '.join(paths)}: no lines")
+    return found
+
+
+def _read_csv(
+    spark: SparkSession, paths: tuple[str, ...], schema: T.StructType, malformed: str | None = None
+) -> DataFrame:
+    """CSV sources, typed up front: files with one separator and header are read together, and
+    columns go by name. Columns that the schema does not know are left out.
+
+    A semicolon file went through a spreadsheet, which writes the timestamp with a decimal comma
+    and an exponent. ``malformed`` names a column for the text of rows that do not fit the
+    schema; what cannot be read of them is null.
     """
-    separator = detect_separator(spark, path)
-    repaired = separator == ";" and "timestamp" in schema.fieldNames()
-    reader = spark.read.option("header", True).option("sep", separator)
-    if not repaired:
-        return reader.schema(schema).csv(path)
-    text = reader.schema(with_text_timestamp(schema)).csv(path)
-    return text.withColumn("timestamp", spreadsheet_millis(F.col("timestamp")))
+    parts = []
+    for separator, names, files in _layouts(spark, paths):
+        missing = set(schema.fieldNames()) - set(names)
+        if missing:
+            raise ValueError(f"{files[0]}: no column {', '.join(sorted(missing))}")
+        repaired = separator == ";" and "timestamp" in schema.fieldNames()
+        typed = with_text_timestamp(schema) if repaired else schema
+        own = T.StructType(
+            [
+                T.StructField(name, typed[name].dataType if name in typed.fieldNames() else T.StringType())
+                for name in names
+            ]
+        )
+        reader = spark.read.option("header", True).option("sep", separator)
+        if malformed:
+            own = own.add(malformed, T.StringType())
+            reader = reader.option("columnNameOfCorruptRecord", malformed)
+        table = reader.schema(own).csv(files)
+        if repaired:
+            table = table.withColumn("timestamp", spreadsheet_millis(F.col("timestamp")))
+        parts.append(table.select(*schema.fieldNames(), *([malformed] if malformed else [])))
+    return _union(parts)
+
+
+def count_malformed(spark: SparkSession, *paths: str, schema: T.StructType = EVENTS) -> DataFrame:
+    """(filas, mal_formadas): rows of the files, and those that do not fit the schema."""
+    table = _read_csv(spark, paths, schema, "_mal")
+    broken = F.col("_mal").isNotNull()
+    if "timestamp" in schema.fieldNames():
+        # A timestamp of a spreadsheet file is text at first.
+        broken = broken | F.col("timestamp").isNull()
+    # True for every row, but makes the reader parse all columns: a broken value in a column
+    # that nobody asks for is not found.
+    broken = broken & F.xxhash64(*schema.fieldNames()).between(-(2**63), 2**63 - 1)
+    return table.agg(F.count(F.lit(1)).alias("filas"), F.count_if(broken).alias("mal_formadas"))
 
 
 def read_events(spark: SparkSession, *paths: str) -> DataFrame:
-    """The raw log; every path may have its own separator."""
-    return _union([_read_csv(spark, p, EVENTS) for p in paths])
+    """The raw log; every file may have its own separator and order of columns."""
+    return _read_csv(spark, paths, EVENTS)
 
 
-def read_category_tree(spark: SparkSession, path: str) -> DataFrame:
-    return _read_csv(spark, path, CATEGORY_TREE)
+def read_category_tree(spark: SparkSession, *paths: str) -> DataFrame:
+    return _read_csv(spark, paths, CATEGORY_TREE)
 
 
 def read_item_properties(spark: SparkSession, *paths: str) -> DataFrame:
     """All parts of the item properties, one below the other, duplicates kept."""
-    return _union([_read_csv(spark, p, ITEM_PROPERTIES) for p in paths])
+    return _read_csv(spark, paths, ITEM_PROPERTIES)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    return table
+    return reduce(DataFrame.unionByName, parts)

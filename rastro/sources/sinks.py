@@ -23,8 +23,10 @@ def write_table(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_csv(df: DataFrame, path: str, separator: str = ",") -> str:
-    df.write.mode("errorifexists").option("header", True).option("sep", separator).csv(path)
+def write_csv(
+    df: DataFrame, path: str, separator: str = ",", mode: str = "errorifexists"
+) -> str:
+    df.write.mode(mode).option("header", True).option("sep", separator).csv(path)
     return path
 
 

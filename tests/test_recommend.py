@@ -106,7 +106,17 @@ def test_training_negatives_equal_brute_force(spark, cells):
     assert got == sorted(expected)
 
 
-def test_evaluation_negatives_go_on_until_all_are_found(spark, cells):
+def evaluation_draws(u, true_item, n_items, taken, n, seed):
+    """The rule, item by item: 6·n tries, then draws from what is unseen."""
+    tries = (draw(n_items, seed, 0, u, true_item, k) for k in range(6 * n))
+    found = [c for c in tries if c not in taken][:n]
+    unseen = [i for i in range(n_items) if i not in taken]
+    for d in range(n - len(found)):
+        found.append(unseen[draw(len(unseen), seed, 0, u, true_item, 6 * n + d)])
+    return sorted(found)
+
+
+def test_evaluation_negatives_equal_brute_force(spark, cells):
     seen = {(r.u_idx, r.i_idx) for r in cells.collect()}
     pairs = [(0, 2), (1, 5), (2, 47)]
     full = [(99, i) for i in range(48)]
@@ -117,14 +127,45 @@ def test_evaluation_negatives_go_on_until_all_are_found(spark, cells):
         got.setdefault((r.u_idx, r.i_idx), []).append(r.neg_idx)
     assert set(got) == set(pairs)  # nothing is left to draw for user 99
     for u, i in pairs:
-        tries = (draw(48, 4, 0, u, i, k) for k in range(100000))
-        expected = []
-        for c in tries:
-            if (u, c) not in seen and c != i:
-                expected.append(c)
-            if len(expected) == 30:
-                break
-        assert sorted(got[(u, i)]) == sorted(expected)
+        taken = {c for v, c in seen if v == u} | {i}
+        assert sorted(got[(u, i)]) == evaluation_draws(u, i, 48, taken, 30, 4)
+
+
+def test_a_user_who_has_seen_nearly_all_of_a_large_catalogue(spark):
+    import time
+
+    n_items, left = 100_000, {17, 99_998}
+    seen = spark.range(n_items).filter(~F.col("id").isin(*left)).select(F.lit(5).cast("long").alias("u_idx"), F.col("id").alias("i_idx"))
+    pairs = spark.createDataFrame([(5, 40)], "u_idx long, i_idx long")
+    start = time.perf_counter()
+    got = [r.neg_idx for r in ng.evaluation_negatives(pairs, seen, n_items).collect()]
+    assert time.perf_counter() - start < 60
+    assert len(got) == 99 and set(got) == left
+    unseen = sorted(left)
+    assert sorted(got) == sorted(unseen[draw(2, 42, 0, 5, 40, 6 * 99 + d)] for d in range(99))
+
+
+def test_tries_per_negative_and_shortfall(spark, cells):
+    positives = spark.createDataFrame([(0, i) for i in range(45)], "u_idx long, i_idx long")
+    missing = []
+    for tries in (1, 10, 60):
+        pairs = ng.training_pairs(positives, cells, 48, ["u_idx", "i_idx"], 4, tries_per_negative=tries)
+        row = ng.training_shortfall(pairs, 4).first()
+        assert row.positivos == 45 and row.negativos + row.faltan == 180
+        missing.append(row.faltan)
+    assert missing[0] > missing[1] > missing[2]
+
+
+def test_pairs_without_negatives_are_not_hits(spark):
+    from rastro.operators import evaluate as ev
+
+    true = spark.createDataFrame([(1, 7, 0.5), (2, 8, 0.5)], "u_idx long, i_idx long, score double")
+    negatives = spark.createDataFrame(
+        [(1, 7, 3, 0.9), (1, 7, 4, 0.1)], "u_idx long, i_idx long, neg_idx long, score double"
+    )
+    assert [tuple(r) for r in ev.sampled_ranks(true, negatives).collect()] == [(1, 7, 2)]
+    assert ev.sampled_metrics(true, negatives).first().usuarios_evaluados == 1
+    assert tuple(ev.left_out(true, negatives, 2).first()) == (2, 1, 0)
 
 
 def test_ranker_learns_planted_tastes(spark, cells, model):

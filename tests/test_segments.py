@@ -6,7 +6,7 @@ import pytest
 from rastro.operators import aggregate as ag
 from rastro.operators import segments as sg
 from rastro.operators.transform import name_clusters
-from rastro.schemas import FEATURE_COLUMNS
+from rastro.schemas import CLUSTER_NAMES, FEATURE_COLUMNS
 from rastro.sources.tables import synthetic_features
 
 NAMES = ", ".join(f"{c} double" for c in FEATURE_COLUMNS)
@@ -60,13 +60,23 @@ def test_profiles(spark, as_rows):
     segments = spark.createDataFrame(rows, "cluster int, a double").selectExpr("*", "5.0D AS b")
     profile = ag.cluster_profile(segments, ["a", "b"])
     assert as_rows(profile) == [(0, 2.0, 5.0), (1, 6.0, 5.0), (2, 500.0, 5.0), (3, 10.0, 5.0)]
-    scaled = ag.scaled_profile(profile, ["a", "b"])
+    # The most active segment has the highest label, unless another is named.
+    assert as_rows(ag.scaled_profile(profile, ["a", "b"]), "cluster") == [(0,), (1,), (2,)]
+    scaled = ag.scaled_profile(profile, ["a", "b"], 2)
     assert as_rows(scaled) == [(0, 0.0, 0.0), (1, 0.5, 0.0), (3, 1.0, 0.0)]
 
 
 def test_cluster_names(spark, as_rows):
     df = spark.createDataFrame([(2,), (9,)], "cluster int")
-    assert as_rows(name_clusters(df), "cluster_nombre") == [(None,), ("Cluster 2 — Muy activo",)]
+    assert as_rows(name_clusters(df, CLUSTER_NAMES), "cluster_nombre") == [
+        (None,),
+        ("Cluster 2 — Muy activo",),
+    ]
+    top = spark.createDataFrame([(3,), (0,)], "cluster int")
+    assert as_rows(name_clusters(top, k=4), "cluster_nombre") == [
+        ("Segmento 0 — el menos activo",),
+        ("Segmento 3 — el más activo",),
+    ]
 
 
 def test_synthetic_features_are_lognormal_and_fixed(spark, as_rows):
