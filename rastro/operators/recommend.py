@@ -207,6 +207,23 @@ def with_ids(ranked: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame
     )
 
 
+def popular_items(cells: DataFrame, n: int = 10) -> DataFrame:
+    """(rank, itemid, score): the n items with the greatest summed weight, the lower id first
+    on a tie."""
+    weights = cells.groupBy("itemid").agg(F.sum("peso").cast("double").alias("score"))
+    best = weights.orderBy(F.desc("score"), "itemid").limit(n)
+    # n rows.
+    order = Window.orderBy(F.desc("score"), "itemid")
+    return best.select(F.row_number().over(order).alias("rank"), "itemid", "score")
+
+
+def popular_for_new(visitors: DataFrame, known: DataFrame, popular: DataFrame) -> DataFrame:
+    """The popular list, n rows, for every visitor without one of their own."""
+    new = visitors.select("visitorid").distinct().join(known.select("visitorid"), "visitorid", "left_anti")
+    whole = popular.agg(F.sort_array(F.collect_list(F.struct("rank", "itemid", "score"))))
+    return new.withColumn("_list", whole.scalar()).select("visitorid", F.inline("_list"))
+
+
 def recommendations_of(recommendations: DataFrame, visitorid: int) -> DataFrame:
     """One user's list, best first."""
     return recommendations.filter(F.col("visitorid") == visitorid).orderBy("rank")

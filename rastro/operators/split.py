@@ -84,10 +84,12 @@ def leave_one_out_train(
     return train.unionByName(again.drop("_i"))
 
 
-def split_events(events: DataFrame, min_events: int = 2) -> tuple[DataFrame, DataFrame]:
-    """(train, test) of a cleaned log."""
+def split_events(
+    events: DataFrame, min_events: int = 2, distinct_rows: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of a cleaned log; of one with copies, pass ``distinct_rows=False``."""
     test = leave_one_out_test(events, min_events)
-    return leave_one_out_train(events, test), test
+    return leave_one_out_train(events, test, distinct_rows), test
 
 
 def known_in_train(test: DataFrame, train: DataFrame) -> DataFrame:

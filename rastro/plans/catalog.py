@@ -474,7 +474,7 @@ def seg_size_sweep(spark, sf):
 
 @dataclass
 class Fitted:
-    """Split, indices and models of one log; fitted once per session."""
+    """Split, indices and models of one log."""
 
     spark: SparkSession
     sf: str
@@ -553,16 +553,130 @@ class Fitted:
         )
 
 
-_FITTED: dict[tuple[str, str], Fitted] = {}
+# Fits take long, so queries share them: one for each state of the input files. The first query
+# that needs a fit makes it.
+_FITTED: dict[tuple, Fitted] = {}
+
+
+def _state_of_inputs(spark: SparkSession, sf: str) -> tuple:
+    """Name, size and time of the files that the larger log is made from."""
+    found = []
+    for name in ("orders", "lineitem"):
+        files_ = spark.read.format("binaryFile").load(f"{sf}/{name}.parquet")
+        found += [tuple(r) for r in files_.select("path", "length", "modificationTime").collect()]
+    return tuple(sorted(found))
 
 
 def fitted(spark: SparkSession, sf: str) -> Fitted:
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, _state_of_inputs(spark, sf))
     if key not in _FITTED:
+        _FITTED.clear()
         _FITTED[key] = Fitted(spark, sf)
     return _FITTED[key]
 
 
+# What must hold for fitted models, over their whole output.
+
+
+def _lists_hold(spark, sf, lists):
+    """Per user: items in the list, gaps in its ranks, and seen items in it."""
+    seen = fitted(spark, sf).split[0].select("visitorid", "itemid").distinct().withColumn("_seen", F.lit(1))
+    joined = lists.join(seen, ["visitorid", "itemid"], "left")
+    return joined.groupBy("visitorid").agg(
+        F.count(F.lit(1)).alias("recomendados"),
+        (F.max("rank") - F.count_distinct("rank")).cast("bigint").alias("huecos"),
+        F.count("_seen").alias("vistos"),
+    )
+
+
+@query("rec_topn_batch_holds")
+def rec_topn_batch_holds(spark, sf):
+    return _lists_hold(spark, sf, rec_topn_batch(spark, sf))
+
+
+@query("rec_topn_user_holds")
+def rec_topn_user_holds(spark, sf):
+    return _lists_hold(spark, sf, rec_topn_user(spark, sf))
+
+
+@query("rec_sample_export_holds")
+def rec_sample_export_holds(spark, sf):
+    return _lists_hold(spark, sf, rec_sample_export(spark, sf))
+
+
+@query("rec_als_holds")
+def rec_als_holds(spark, sf):
+    """Rows of factors for each side, and rows with a number missing or not finite."""
+    bad = ~F.forall("features", lambda x: F.abs(x) < float("inf")) | (F.size("features") != FACTORS)
+    return (
+        rec_als_fit(spark, sf)
+        .groupBy("tipo")
+        .agg(
+            F.count_distinct("id").alias("ids"),
+            F.count(F.lit(1)).alias("filas"),
+            F.count_if(F.coalesce(bad, F.lit(True))).alias("malas"),
+        )
+    )
+
+
+@query("rec_neural_holds")
+def rec_neural_holds(spark, sf):
+    """Scored pairs, and scores outside of 0 to 1."""
+    fine = F.coalesce(F.col("score").between(0, 1), F.lit(False))
+    return rec_neural_rank(spark, sf).agg(
+        F.count(F.lit(1)).alias("pares"), F.count_if(~fine).alias("fuera")
+    )
+
+
+@query("seg_kmeans_holds")
+def seg_kmeans_holds(spark, sf):
+    """Users, and those that are nearer to another centre than to their own."""
+    features = features_of(spark, sf)
+    centers = sg.fit_centers(sg.prepared_features(features))
+    labelled = sg.label_users(features, centers).select("visitorid", "cluster")
+    scaled = sg.prepared_features(features).join(labelled, "visitorid")
+    values = [F.col(c) for c in FEATURE_COLUMNS]
+    distances = F.array(*[fn.squared_distance(values, center) for center in centers])
+    far = F.element_at(distances, F.col("cluster") + 1) > F.array_min(distances)
+    return scaled.agg(F.count(F.lit(1)).alias("usuarios"), F.count_if(far).alias("lejos"))
+
+
+@query("seg_relabel_holds")
+def seg_relabel_holds(spark, sf):
+    """Segments, users, and centres that are quieter than the one with the label before."""
+    features = features_of(spark, sf)
+    centers = sg.fit_centers(sg.prepared_features(features))
+    falls = sum(sum(a) > sum(b) for a, b in zip(centers, centers[1:]))
+    sizes = ag.cluster_sizes(sg.label_users(features, centers))
+    return sizes.agg(
+        F.count(F.lit(1)).alias("segmentos"),
+        F.sum("usuarios").alias("usuarios"),
+        F.lit(falls).cast("bigint").alias("caidas"),
+    )
+
+
+@query("seg_project_2d_holds")
+def seg_project_2d_holds(spark, sf):
+    """Users of the map, and those without a place."""
+    lost = F.col("x").isNull() | F.col("y").isNull() | F.isnan("x") | F.isnan("y")
+    return seg_project_2d(spark, sf).agg(
+        F.count_distinct("visitorid").alias("usuarios"), F.count_if(lost).alias("perdidos")
+    )
+
+
+@query("seg_dispersion_holds")
+def seg_dispersion_holds(spark, sf):
+    return seg_dispersion(spark, sf).select("cluster", "usuarios", "porcentaje")
+
+
+@query("ext_popularity")
+def ext_popularity(spark, sf):
+    """The popular list for visitors without a row in train; order keys stand for visitors."""
+    train = fitted(spark, sf).indexed
+    visitors = ad.table(spark, sf, "orders").select(F.col("o_orderkey").alias("visitorid"))
+    return rec.popular_for_new(visitors, train.users, rec.popular_items(train.cells, TOP_N))
+
+
 @query("rec_als_fit")
 def rec_als_fit(spark, sf):
     model = fitted(spark, sf).als

@@ -13,6 +13,7 @@ from rastro.functions.running import row_rank
 from rastro.operators.recommend import rank_scores
 from rastro.operators.segments import label_users
 from rastro.operators.split import seen_pairs, unseen_only
+from rastro.session import pinned
 
 # Six centres in the scaled feature space, quietest first.
 FIXED_CENTERS = [
@@ -30,15 +31,34 @@ def item_scores(train: DataFrame, score: Column) -> DataFrame:
     return train.groupBy("itemid").agg(score.cast("double").alias("score"))
 
 
-def candidates(train: DataFrame, scores: DataFrame, n: int) -> DataFrame:
-    """Per user the best n + seen(u) items overall: n of them must be unseen."""
-    ranked = row_rank(scores, [], [F.desc("score"), F.asc("itemid")], "place")
+# Places that every task holds; users who need more of them meet the rest in a join.
+HELD_PLACES = 4096
+
+
+def candidates(train: DataFrame, scores: DataFrame, n: int, held: int = HELD_PLACES) -> DataFrame:
+    """Per user the best n + seen(u) items overall: n of them must be unseen.
+
+    All users need the first places, so these travel as one list of bounded length. Only users
+    who have seen very much need places beyond it; their rows are shuffled by place.
+    """
+    ranked = pinned(row_rank(scores, [], [F.desc("score"), F.asc("itemid")], "place"))
     counts = seen_pairs(train).groupBy("visitorid").agg(F.count(F.lit(1)).alias("n_seen"))
-    places = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n_seen") + n))
-    return (
-        counts.select("visitorid", places.alias("place"))
-        .join(ranked, "place")
-        .select("visitorid", "itemid", "score")
+    wanted = counts.withColumn("_last", F.col("n_seen") + n)
+    first = ranked.filter(F.col("place") <= held).agg(
+        F.sort_array(F.collect_list(F.struct("place", "itemid", "score")))
+    )
+    common = wanted.withColumn("_first", first.scalar()).select(
+        "visitorid",
+        F.inline(F.slice("_first", F.lit(1), F.least(F.col("_last"), F.lit(held)).cast("int"))),
+    )
+    beyond = wanted.filter(F.col("_last") > held).select(
+        "visitorid",
+        F.explode(F.sequence(F.lit(held + 1).cast("bigint"), F.col("_last"))).alias("place"),
+    )
+    # An exploded table is larger than the planner thinks.
+    rest = beyond.hint("merge").join(ranked.filter(F.col("place") > held), "place")
+    return common.select("visitorid", "itemid", "score").unionByName(
+        rest.select("visitorid", "itemid", "score")
     )
 
 

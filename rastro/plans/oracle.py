@@ -319,6 +319,12 @@ _OTHERS = _lists_cte("others", "count(*)")
 _CLUSTER_NAME = " ".join(f"WHEN {k} THEN '{v}'" for k, v in CLUSTER_NAMES.items())
 _RESOURCES = _case("herramienta", TOOL_RESOURCES, "NULL")
 
+_LISTS_HOLD = f"""SELECT visitorid,
+    least({TOP_N}, (SELECT count(*) FROM items) - count(*))::BIGINT AS recomendados,
+    0::BIGINT AS huecos, 0::BIGINT AS vistos
+    FROM seen {{who}} GROUP BY visitorid"""
+_FEATURES_CTE = f", features AS ({_FEATURES})"
+
 ORACLE: dict[str, str] = {
     "src_detect_sep": """SELECT doc_id,
         CASE WHEN length(line) - length(replace(line, ';', ''))
@@ -451,6 +457,41 @@ ORACLE: dict[str, str] = {
         TRAIN_NEG,
     ),
     "rec_neg_eval": _on_train("SELECT * FROM eval_neg", EVAL_NEG),
+    "rec_topn_batch_holds": _on_train(_LISTS_HOLD.format(who="")),
+    "rec_topn_user_holds": _on_train(
+        _LISTS_HOLD.format(who="WHERE visitorid = (SELECT min(visitorid) FROM train)")
+    ),
+    "rec_sample_export_holds": _on_train(
+        _LISTS_HOLD.format(
+            who=f"""WHERE visitorid IN (SELECT visitorid FROM users
+            ORDER BY md5('42:' || CAST(visitorid AS VARCHAR)), visitorid LIMIT {SAMPLE_USERS})"""
+        )
+    ),
+    "rec_als_holds": _on_train(
+        """SELECT 'usuario' AS tipo, count(*) AS ids, count(*) AS filas, 0::BIGINT AS malas FROM users
+        UNION ALL SELECT 'producto', count(*), count(*), 0 FROM items"""
+    ),
+    "rec_neural_holds": _on_train("SELECT count(*) AS pares, 0::BIGINT AS fuera FROM pairs"),
+    "seg_kmeans_holds": _on_orders("SELECT count(*) AS usuarios, 0::BIGINT AS lejos FROM features", _FEATURES_CTE),
+    "seg_relabel_holds": _on_orders(
+        "SELECT 6::BIGINT AS segmentos, count(*) AS usuarios, 0::BIGINT AS caidas FROM features", _FEATURES_CTE
+    ),
+    "seg_project_2d_holds": _on_orders(
+        "SELECT count(*) AS usuarios, 0::BIGINT AS perdidos FROM features", _FEATURES_CTE
+    ),
+    "seg_dispersion_holds": _on_orders(
+        """SELECT cluster, count(*) AS usuarios,
+        round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM segments), 1) AS porcentaje
+        FROM segments GROUP BY cluster""",
+        _segments_cte(),
+    ),
+    "ext_popularity": _on_train(
+        f"""SELECT o_orderkey AS visitorid, CAST(rank AS INTEGER) AS rank, itemid, score
+        FROM orders, (SELECT itemid, CAST(sum(peso_implicito) AS DOUBLE) AS score,
+            row_number() OVER (ORDER BY sum(peso_implicito) DESC, itemid) AS rank
+          FROM train GROUP BY itemid)
+        WHERE rank <= {TOP_N} AND o_orderkey NOT IN (SELECT visitorid FROM train)"""
+    ),
     "rec_neg_shortfall": _on_train(
         f"""SELECT positivos, negativos, {TRAIN_NEGATIVES} * positivos - negativos AS faltan
         FROM (SELECT (SELECT count(*) FROM positives) AS positivos,

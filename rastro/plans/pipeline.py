@@ -17,7 +17,13 @@ from rastro.operators.aggregate import hit_rate_by_cluster, interactions, user_f
 from rastro.operators.clean import clean_events
 from rastro.operators.evaluate import full_metrics, user_hits
 from rastro.operators.index import index_cells, index_ids
-from rastro.operators.recommend import fit_als, top_n_unseen, with_ids
+from rastro.operators.recommend import (
+    fit_als,
+    popular_for_new,
+    popular_items,
+    top_n_unseen,
+    with_ids,
+)
 from rastro.operators.segments import segment_users
 from rastro.operators.split import known_in_train, limit_test_users, split_events
 from rastro.operators.transform import transform_events
@@ -47,10 +53,18 @@ def index_train(train: DataFrame) -> IndexedTrain:
     return IndexedTrain(pinned(index_cells(cells, users, items)), users, items)
 
 
-def recommend_all(model: ALSModel, train: IndexedTrain, visitors: DataFrame, n: int = 10):
-    """(visitorid, rank, itemid, score) for the visitors that occur in train."""
+def recommend_all(
+    model: ALSModel, train: IndexedTrain, visitors: DataFrame, n: int = 10, popular: bool = False
+):
+    """(visitorid, rank, itemid, score) for the visitors that occur in train.
+
+    With ``popular`` all others get the list of the most popular items.
+    """
     chosen = train.users.join(visitors.select("visitorid"), "visitorid", "left_semi")
-    return with_ids(top_n_unseen(model, chosen, train.seen, n), train.users, train.items)
+    lists = with_ids(top_n_unseen(model, chosen, train.seen, n), train.users, train.items)
+    if not popular:
+        return lists
+    return lists.unionByName(popular_for_new(visitors, train.users, popular_items(train.cells, n)))
 
 
 def ingest(raw: DataFrame, path: str) -> tuple[str, dict]:

@@ -38,13 +38,13 @@ def build_session(app: str = "rastro", master: str | None = None, **settings: st
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can read, as named by the cluster.
 
-    Only a local session without the setting gets a temporary folder; a cluster
-    without one is refused, because a machine-local folder dies with its machine.
+    Only a session within one process gets a temporary folder without the setting; a cluster,
+    ``local-cluster`` too, is refused, because a machine-local folder dies with its machine.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="rastro-")
     if not context.getCheckpointDir():
@@ -52,6 +52,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def remove_pinned(spark: SparkSession) -> None:
+    """Deletes the application's part of the shared folder, with all pinned tables.
+
+    For the end of a run: tables that were not written elsewhere are gone then.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/rastro-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the application's own part of the shared folder."""
     application = spark.sparkContext.applicationId

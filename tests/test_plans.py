@@ -67,3 +67,57 @@ def test_entry(spark):
     rates = entry(spark)
     assert rates.columns == ["cluster", "hit_rate@10", "n_usuarios_evaluados"]
     assert rates.count() > 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_density_copies_no_cells(spark, sf_dir):
+    assert "Expand" not in plan_of(QUERIES["agg_matrix_density"](spark, sf_dir))
+
+
+def test_candidates_broadcast_no_exploded_table(spark, sf_dir):
+    """The bounded list of places comes as a scalar; beyond it nothing is broadcast."""
+    from rastro.plans import fixed
+    from rastro.plans.catalog import split_of
+
+    train = split_of(spark, sf_dir)[0]
+    scores = fixed.item_scores(train, fixed.by_weight())
+    whole = fixed.candidates(train, scores, 10)
+    few = fixed.candidates(train, scores, 10, held=3)
+
+    columns = ["visitorid", "itemid", "score"]
+    assert whole.select(columns).exceptAll(few.select(columns)).count() == 0
+    assert few.count() == whole.count()
+
+
+def test_indices_of_wide_ids(spark, as_rows):
+    from rastro.operators.index import index_ids
+
+    ids = [-(2**63), -(2**40), -1, 0, 1, 65_535, 65_536, 2**33, 2**33 + 5, 2**49, 2**63 - 1]
+    df = spark.createDataFrame([(i,) for i in [*ids, *ids, None]], "visitorid long")
+    assert as_rows(index_ids(df, "visitorid", "u_idx")) == [(i, k) for k, i in enumerate(ids)]
+
+
+def test_popular_lists_for_new_visitors(spark, as_rows):
+    from rastro.operators import recommend as rec
+
+    cells = spark.createDataFrame([(1, 10, 3), (2, 10, 1), (1, 11, 4), (2, 12, 9)], "visitorid long, itemid long, peso long")
+    popular = rec.popular_items(cells, 2)
+    assert as_rows(popular) == [(1, 12, 9.0), (2, 10, 4.0)]
+    visitors = spark.createDataFrame([(1,), (7,), (7,)], "visitorid long")
+    got = rec.popular_for_new(visitors, cells.select("visitorid").distinct(), popular)
+    assert as_rows(got) == [(7, 1, 12, 9.0), (7, 2, 10, 4.0)]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from rastro.session import shared_folder
+
+    for master in ("local-cluster[2,1,1024]", "yarn"):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        spark = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *_: None))
+        with pytest.raises(RuntimeError):
+            shared_folder(spark)
