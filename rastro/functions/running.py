@@ -25,12 +25,15 @@ def running_total(
     weight: Column | None = None,
     name: str = "total",
     hot_rows: int = HOT_ROWS,
+    written: bool = False,
 ) -> DataFrame:
     """Add ``name``: the sum of ``weight`` up to each row, per key, in ``order``.
 
     ``order`` must be total within a key. With no keys the whole table is one
-    group. Without ``weight`` the result is the row number, starting at 1.
+    group. Without ``weight`` the result is the row number, starting at 1. The table is read
+    for its sizes and for its rows, so it is pinned, unless it is a ``written`` one.
     """
+    df = df if written else pinned(df)
     weight = F.lit(1).cast("bigint") if weight is None else weight
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = pinned(sizes.filter(F.col("_rows") > hot_rows))
@@ -77,9 +80,10 @@ def row_rank(
     order: list[Column],
     name: str,
     hot_rows: int = HOT_ROWS,
+    written: bool = False,
 ) -> DataFrame:
     """Ordinal rank 1..n of each row within its key."""
-    return running_total(df, keys, order, None, name, hot_rows)
+    return running_total(df, keys, order, None, name, hot_rows, written)
 
 
 def first_rows(df: DataFrame, order: list[Column], n: int, heap_rows: int = 10_000) -> DataFrame:
@@ -107,9 +111,9 @@ def exact_percentiles(
     the two values around each position are picked out of the running counts.
     """
     present = df.filter(F.col(value).isNotNull())
-    counts = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = pinned(present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n")))
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    upto = running_total(counts, keys, [F.col(value).asc()], F.col("_n"), "_upto", hot_rows)
+    upto = running_total(counts, keys, [F.col(value).asc()], F.col("_n"), "_upto", hot_rows, True)
     spread = upto.join(checked_broadcast(sizes), keys)
     picks = []
     for label, p in points.items():

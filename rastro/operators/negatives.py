@@ -178,7 +178,7 @@ def _from_unseen(hard: DataFrame, seen: DataFrame, key: list[str], seed: int, fi
         seen.select("u_idx", F.col("i_idx").alias("item")), "u_idx"
     )
     taken = pinned(taken.select("_pos", "item").unionByName(own).distinct())
-    ranked = row_rank(taken, ["_pos"], [F.col("item").asc()], "_rank")
+    ranked = row_rank(taken, ["_pos"], [F.col("item").asc()], "_rank", written=True)
     marks = ranked.select(
         "_pos", (F.col("item") - F.col("_rank") + 1).alias("_at"), F.lit(0).alias("_kind"),
         F.col("item").cast("bigint").alias("_tie"), F.lit(1).cast("bigint").alias("_taken"),
@@ -193,6 +193,6 @@ def _from_unseen(hard: DataFrame, seen: DataFrame, key: list[str], seed: int, fi
     )
     order = [F.col(c).asc() for c in ("_at", "_kind", "_tie")]
     together = pinned(marks.unionByName(draws))
-    counted = running_total(together, ["_pos"], order, F.col("_taken"), "_before")
+    counted = running_total(together, ["_pos"], order, F.col("_taken"), "_before", written=True)
     items = counted.filter("_kind = 1").select("_pos", (F.col("_at") + F.col("_before")).alias("neg_idx"))
     return items.join(hard.select("_pos", *key), "_pos")

@@ -189,7 +189,7 @@ def sink_json(spark, sf):
 
 @query("src_subset")
 def src_subset(spark, sf):
-    log = sp.seen_pairs(clean_log(spark, sf))
+    log = pinned(sp.seen_pairs(clean_log(spark, sf)))
     return tables.subset(log, log.count() // 2, ["visitorid", "itemid"])
 
 
