@@ -17,7 +17,8 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rastro.llm.common import (
@@ -28,9 +29,7 @@ from rastro.llm.common import (
     mixed,
     pinned,
     slices,
-    summed_vectors,
     text_bytes,
-    with_keys,
     without,
 )
 from rastro.llm.components import components
@@ -38,14 +37,20 @@ from rastro.llm.components import components
 #: Words of a shingle, and the similarity in percent.
 N, PERCENT = 5, 80
 #: Counters of the sketch; its size does not depend on the corpus.
-SKETCH_BITS, CHUNK = 20, 1 << 14
+SKETCH_BITS, CHUNK = 22, 1 << 16
+#: Counters are added up at so many tokens.
+HELD_TOKENS = 1 << 21
+#: Bits of a set's parity: token by token, one bit changes.
+PARITY_BITS = 2048
 #: Above the sketch's noise, a token in more texts than this counts as frequent.
 FREQUENT = 8
 #: What tells the orders apart: multipliers of the token's hash.
 ORDERS = (1, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
-SETS = "doc_id long, n long, digest binary, centre int, prefix array<long>"
-WHOLE = "v long, tokens array<long>, prefix_2 array<long>, prefix_3 array<long>"
+SETS = "doc_id long, n long, digest binary, centre int, parity array<long>, prefix array<long>"
+#: Texts of either side of a cell, and pairs that small cells are put together to: sets meet
+#: in cells, and a set is sent to a cell once.
+CELL_SETS, CELL_PAIRS = 1024, 2048
 
 
 def token_sets(data: np.ndarray, places: np.ndarray, n: int = N):
@@ -72,25 +77,41 @@ def _bucket(tokens: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """How many texts hold tokens of each bucket, over all texts."""
+    """How many texts hold tokens of each bucket, over all texts.
+
+    Each task sends its counters once, compressed; they are added up as they come.
+    """
+    names = ["chunk", "values"]
 
     def count(batches):
-        total = np.zeros(1 << SKETCH_BITS)
+        total, held, waiting = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
         for _, _, _, sets in _sets(batches, 0, n):
-            total += np.bincount(_bucket(np.concatenate(sets)), minlength=len(total))
-        rows = total.reshape(-1, CHUNK)
+            held += sets
+            waiting += sum(map(len, sets))
+            if waiting >= HELD_TOKENS:
+                total += np.bincount(_bucket(np.concatenate(held)), minlength=len(total)).astype(np.uint32)
+                held, waiting = [], 0
+        if held:
+            total += np.bincount(_bucket(np.concatenate(held)), minlength=len(total)).astype(np.uint32)
+        rows = [zstandard.compress(row.tobytes(), 1) for row in total.reshape(-1, CHUNK)]
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array(rows)], names=names)
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, values in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                own = np.frombuffer(zstandard.decompress(values), np.uint32).astype(np.uint64)
+                sums[chunk] = sums[chunk] + own if chunk in sums else own
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.arange(len(rows)), pa.int32()),
-                pa.ListArray.from_arrays(np.arange(0, total.size + 1, CHUNK, dtype=np.int32), pa.array(total)),
-            ],
-            names=["chunk", "values"],
+            [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())],
+            names=names,
         )
 
-    parts = docs.select("text").mapInArrow(count, "chunk int, values array<double>")
-    total = np.zeros((1 << SKETCH_BITS) // CHUNK * CHUNK).reshape(-1, CHUNK)
-    for row in summed_vectors(parts).toLocalIterator():
-        total[row["chunk"]] = row["values"]
+    schema, chunks = "chunk int, values binary", (1 << SKETCH_BITS) // CHUNK
+    parts = docs.select("text").mapInArrow(count, schema).repartition(chunks, "chunk")
+    total = np.zeros((chunks, CHUNK))
+    for row in parts.mapInArrow(add, schema).toLocalIterator():
+        total[row["chunk"]] = np.frombuffer(row["values"], np.uint64)
     return total.ravel()
 
 
@@ -108,6 +129,13 @@ def prefix(tokens: np.ndarray, level: np.ndarray, order: int, percent: int = PER
     return tokens[np.lexsort((ranked, level))[:size]]
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Bits of which two sets differ in no more than in tokens."""
+    places = (tokens & np.uint64(PARITY_BITS - 1)).astype(np.int64)
+    odd = (np.bincount(places, minlength=PARITY_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.uint64)
+
+
 def _arrays(sets: list[np.ndarray]) -> pa.ListArray:
     places = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
     values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
@@ -127,34 +155,63 @@ def prefixes(docs: DataFrame, shared, n: int, percent: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in sets], pa.binary()),
                     pa.array([int(100 * f.mean()) if len(f) else 0 for f in found], pa.int32()),
+                    _arrays([parity(s) for s in sets]),
                     _arrays([prefix(s, f, ORDERS[0], percent) for s, f in zip(sets, found)]),
                 ],
-                names=["doc_id", "n", "digest", "centre", "prefix"],
+                names=["doc_id", "n", "digest", "centre", "parity", "prefix"],
             )
 
     return docs.select("doc_id", "text").mapInArrow(rows, SETS)
 
 
-def whole_sets(docs: DataFrame, shared, n: int, percent: int) -> DataFrame:
-    """Whole sets and prefixes under the other orders."""
+def cell_sets(docs: DataFrame, n: int) -> DataFrame:
+    """Whole sets of texts (doc_id, text, cell)."""
 
     def rows(batches):
-        known = shared.value
         for batch, low, high, sets in _sets(batches, 1, n):
-            found = [known[_bucket(s)] for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
+                    batch.column(2).slice(low, high - low),
                     batch.column(0).slice(low, high - low),
-                    _arrays(sets),
-                    *(
-                        _arrays([prefix(s, f, order, percent) for s, f in zip(sets, found)])
-                        for order in ORDERS[1:]
-                    ),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
                 ],
-                names=["v", "tokens", "prefix_2", "prefix_3"],
+                names=["cell", "v", "tokens"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(rows, WHOLE)
+    return docs.select("doc_id", "text", "cell").mapInArrow(rows, "cell long, v long, tokens binary")
+
+
+def similar_pairs(pairs: pa.Table, sets: pa.Table, level: np.ndarray, percent: int) -> pa.Table:
+    """The pairs of a cell that share prefix tokens under all orders and then are similar."""
+    tokens = {
+        v: np.frombuffer(t, np.uint64)
+        for v, t in zip(sets.column("v").to_pylist(), sets.column("tokens").to_pylist())
+    }
+    others: dict[tuple[int, int], np.ndarray] = {}
+
+    def first(v: int, order: int) -> np.ndarray:
+        if (v, order) not in others:
+            own = tokens[v]
+            others[v, order] = np.sort(prefix(own, level[_bucket(own)], order, percent))
+        return others[v, order]
+
+    def common(a: np.ndarray, b: np.ndarray) -> int:
+        if len(a) > len(b):
+            a, b = b, a
+        at = np.searchsorted(b, a)
+        return int((b[np.minimum(at, len(b) - 1)] == a).sum())
+
+    found = []
+    for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
+        x, y = tokens.get(a), tokens.get(b)
+        if x is None or y is None:
+            continue
+        if all(common(first(a, o), first(b, o)) for o in ORDERS[1:]):
+            if (100 + percent) * common(x, y) >= percent * (len(x) + len(y)):
+                found.append((a, b))
+    return pa.table(
+        {c: pa.array([p[k] for p in found], pa.int64()) for k, c in enumerate(("a", "b"))}
+    )
 
 
 class NgramJoin:
@@ -175,7 +232,8 @@ class NgramJoin:
         return there.join(classes.filter("c > 1").drop("c"), "digest").filter("doc_id <> v").select("doc_id", "v")
 
     def postings(self, copies: DataFrame, n_copies: int) -> DataFrame:
-        """(token, v, n, pos, centre) for prefix tokens that two texts or more share."""
+        """(token, v, n, pos, centre, before) for prefix tokens that two texts or more share;
+        ``before`` is the one in front, of these."""
         keys = copies.select("doc_id").distinct()
         own = self.table.filter("n > 0 AND doc_id IS NOT NULL").join(
             F.broadcast(keys) if n_copies <= BROADCAST_KEYS else keys, "doc_id", "left_anti"
@@ -185,33 +243,72 @@ class NgramJoin:
         rows = own.select(
             F.posexplode("prefix").alias("pos", "token"), F.col("doc_id").alias("v"), "n", "centre"
         )
-        return rows.join(counts.select("token"), "token").select("token", "v", "n", "pos", "centre")
+        shared = rows.join(counts.select("token"), "token")
+        # No more rows than tokens in one text's prefix.
+        order = Window.partitionBy("v").orderBy("pos")
+        return shared.select(
+            "token", "v", "n", "pos", "centre", F.lag("token").over(order).alias("before")
+        )
 
-    def may_link(self, n: Column, pos: Column, m: Column, at: Column) -> Column:
-        """Size and position bounds for sets of n and m tokens that share their pos-th and at-th
-        and nothing before."""
+    def may_link(self, x: str, y: str) -> Column:
+        """Whether this token can be the first that two similar sets share: size and position
+        bounds, and another shared token in front of it."""
         p = self.percent
+        n, m, pos, at = (F.col(f"{t}.{c}") for c in ("n", "pos") for t in (x, y))
         return (
             (100 * F.least(n, m) >= p * F.greatest(n, m))
             & ((100 + p) * F.least(n - pos, m - at) >= p * (n + m))
+            & ~F.coalesce(F.col(f"{x}.before") == F.col(f"{y}.before"), F.lit(False))
         )
 
-    def linked(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose sets are similar."""
-        ends = pinned(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id"))
-        mine = with_keys(self.docs, ends, "doc_id", ends.count())
-        sets = pinned(whole_sets(mine, self.level, self.n, self.percent))
-        names = ("tokens", "prefix_2", "prefix_3")
-        left = sets.select(F.col("v").alias("a"), *(F.col(c).alias(f"a_{c}") for c in names))
-        right = sets.select(F.col("v").alias("b"), *(F.col(c).alias(f"b_{c}") for c in names))
-        both = pairs.join(left, "a").join(right, "b")
-        shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    def by_parity(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose sets differ in few enough bits of their parities, which differ in no
+        more bits than the sets do in tokens."""
         p = self.percent
-        similar = (100 + p) * shared >= p * (F.size("a_tokens") + F.size("b_tokens"))
-        in_all_orders = F.arrays_overlap("a_prefix_2", "b_prefix_2") & F.arrays_overlap(
-            "a_prefix_3", "b_prefix_3"
+        own = self.table.filter("n > 0 AND doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+        for side in ("a", "b"):
+            mine = own.select(
+                F.col("doc_id").alias(side), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"p_{side}")
+            )
+            pairs = pairs.join(mine, side)
+        bits = F.zip_with("p_a", "p_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        differing = F.aggregate(bits, F.lit(0), lambda total, x: total + x)
+        kept = pairs.filter((100 + p) * differing <= (100 - p) * (F.col("n_a") + F.col("n_b")))
+        return kept.select("a", "b", "near")
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose sets are similar.
+
+        Pairs that are ``near`` the same text or component meet in one cell, or in a grid of
+        cells if they have very many texts, so that a set does not travel once for each pair.
+        """
+        pairs = pinned(self.by_parity(pairs))
+        total = pairs.count()
+        sides = pairs.groupBy("near").agg(
+            F.ceil(F.approx_count_distinct("a") / CELL_SETS).alias("rows"),
+            F.ceil(F.approx_count_distinct("b") / CELL_SETS).alias("columns"),
+        )
+        cell = F.xxhash64(
+            "near", F.pmod(F.xxhash64("a"), F.col("rows")), F.pmod(F.xxhash64("b"), F.col("columns"))
+        )
+        celled = pinned(
+            pairs.join(sides, "near").select(
+                F.pmod(cell, F.lit(total // CELL_PAIRS + 1)).alias("cell"), "a", "b"
+            )
+        )
+        members = pinned(
+            celled.select("cell", F.col("a").alias("doc_id")).union(celled.select("cell", "b")).distinct()
         )
-        return pinned(both.filter(F.when(in_all_orders, similar).otherwise(False)).select("a", "b").distinct())
+        small = members.count() <= BROADCAST_KEYS
+        mine = self.docs.join(F.broadcast(members) if small else members, "doc_id")
+        level, percent = self.level, self.percent
+
+        def compare(pairs, sets):
+            return similar_pairs(pairs, sets, level.value, percent)
+
+        sets = cell_sets(mine, self.n)
+        met = celled.groupBy("cell").cogroup(sets.groupBy("cell"))
+        return pinned(met.applyInArrow(compare, "a long, b long"))
 
     def labelled(self, postings: DataFrame, links: DataFrame | None) -> DataFrame:
         """Postings with the component of their text and its size."""
@@ -229,42 +326,42 @@ class NgramJoin:
                     "size": F.coalesce("size", F.lit(1).cast("long")),
                 }
             )
-            .select("token", "v", "n", "pos", "centre", "component", "size")
+            .select(*postings.columns, "component", "size")
         )
 
     def against_one(self, rows: DataFrame) -> DataFrame:
         """Each text of a bucket with the bucket's central text: of the largest component the
         one with most frequent tokens."""
         pivots = rows.groupBy("token").agg(
-            F.max(F.struct("size", "component", "centre", "v", "n", "pos")).alias("p")
+            F.max(F.struct("size", "component", "centre", "v", "n", "pos", "before")).alias("p")
+        ).select("token", "p.*")
+        met = rows.alias("r").join(
+            pivots.alias("p"),
+            (F.col("r.token") == F.col("p.token"))
+            & (F.col("r.component") != F.col("p.component"))
+            & self.may_link("r", "p"),
         )
-        near = self.may_link(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos"))
-        met = rows.join(pivots, "token").filter((F.col("component") != F.col("p.component")) & near)
-        return met.select(
-            F.least("v", F.col("p.v")).alias("a"), F.greatest("v", F.col("p.v")).alias("b")
-        ).distinct()
+        return self.pairs(met, F.col("p.v"), F.col("r.v"), F.col("p.v"))
+
+    @staticmethod
+    def pairs(met: DataFrame, near: Column, x: Column, y: Column) -> DataFrame:
+        """Each pair a < b once, and one of the texts or components that it was met near."""
+        named = met.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), near.alias("near"))
+        return named.groupBy("a", "b").agg(F.min("near").alias("near"))
 
     def still_apart(self, rows: DataFrame) -> DataFrame:
         """Pairs of texts of a bucket that are not in one component, the texts outside of the
         bucket's largest component against all."""
         main = rows.groupBy("token").agg(F.max(F.struct("size", "component")).alias("m"))
-        others = rows.join(main, "token").filter(F.col("component") != F.col("m.component"))
-        others = others.select(
-            "token",
-            F.col("v").alias("o_v"),
-            F.col("n").alias("o_n"),
-            F.col("pos").alias("o_pos"),
-            F.col("component").alias("o_component"),
-            F.col("m.component").alias("main"),
-        )
-        apart = (F.col("component") != F.col("o_component")) & (
-            (F.col("component") == F.col("main")) | (F.col("o_v") < F.col("v"))
+        main = main.select("token", F.col("m.component").alias("main"))
+        others = rows.join(main, "token").filter("component <> main")
+        apart = (F.col("r.component") != F.col("o.component")) & (
+            (F.col("r.component") == F.col("o.main")) | (F.col("o.v") < F.col("r.v"))
         )
-        near = self.may_link(F.col("n"), F.col("pos"), F.col("o_n"), F.col("o_pos"))
         joined = others.alias("o").join(
-            rows.alias("r"), (F.col("o.token") == F.col("r.token")) & apart & near
+            rows.alias("r"), (F.col("o.token") == F.col("r.token")) & apart & self.may_link("o", "r")
         )
-        return joined.select(F.least("v", "o_v").alias("a"), F.greatest("v", "o_v").alias("b")).distinct()
+        return self.pairs(joined, F.col("o.main"), F.col("o.v"), F.col("r.v"))
 
     def result(self) -> DataFrame:
         copies = pinned(self.copies())
@@ -276,7 +373,8 @@ class NgramJoin:
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
             pairs = pinned(pairs)
-            tried = pairs if tried is None else tried.union(pairs)
+            known = pairs.select("a", "b")
+            tried = known if tried is None else tried.union(known)
             fresh = self.linked(pairs)
             links = fresh if links is None else links.union(fresh)
             self.release()
