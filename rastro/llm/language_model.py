@@ -16,6 +16,7 @@ import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +29,15 @@ from rastro.llm.folds import held_out
 PARTS, PART = 7, 2
 
 #: Words with a place in the network, words of a class, and classes by ending.
-VOCABULARY, CLASS_WORDS, ENDINGS = 4095, 64, 64
+VOCABULARY, CLASS_WORDS, ENDINGS = 511, 64, 24
 #: Words whose counts every task holds, and bytes of the longest; the rest is joined.
 COUNTED, COUNTED_BYTES = 400_000, 64
-WIDTH, STATE = 16, 16
-LANES, WINDOW, RATE = 128, 16, 0.004
+WIDTH, STATE = 8, 12
+LANES, WINDOW, RATE = 512, 16, 0.015
 #: Every training document is in one round.
 ROUNDS = 4
 #: Tokens that a task holds at a time, in training and in scoring.
-TRAIN_TOKENS, SCORE_TOKENS = 262_144, 524_288
+TRAIN_TOKENS, SCORE_TOKENS = 524_288, 3_000_000
 #: Words that a task counts before it passes them on.
 HELD_WORDS = 300_000
 CHUNK = 8192
@@ -339,7 +340,9 @@ def train(network: Network, optimiser: Adam, documents: list[np.ndarray], end: i
 
 def score(network: Network, documents: list[np.ndarray], end: int, window: int = 64) -> np.ndarray:
     """Natural log-likelihood of each whole document, the end included."""
-    lanes = min(2 * LANES, len(documents))
+    # As many lanes as the longest document allows to be of one length.
+    sizes = [len(d) + 1 for d in documents]
+    lanes = min(2 * LANES, len(documents), max(1, sum(sizes) // max(sizes)))
     loads = [(0, i) for i in range(lanes)]
     held: list[list[int]] = [[] for _ in range(lanes)]
     for d in sorted(range(len(documents)), key=lambda d: -len(documents[d])):
@@ -423,11 +426,11 @@ def trained(texts: DataFrame, lexicon_shared, rounds: int = ROUNDS) -> Network:
 
 def _numbers(lexicon: Lexicon, ids: dict[bytes, int], words: list[bytes]) -> np.ndarray:
     """Input numbers of words: those of the network, else that of their ending."""
-    found = np.array([ids.get(w, -1) for w in words], np.int32)
-    out = lexicon.inputs[found] if len(lexicon.inputs) else np.zeros(len(found), np.int32)
-    for i in np.flatnonzero(found < 0).tolist():
-        out[i] = lexicon.size + ending(words[i])
-    return out
+    return _numbers_of(lexicon, words, _found(ids, words))
+
+
+def _found(ids: dict[bytes, int], words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(ids.get, words, repeat(-1)), np.int64, len(words))
 
 
 def _scored(shared, flat, batches):
@@ -442,7 +445,7 @@ def _scored(shared, flat, batches):
         keys, folds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         for key, fold, text in zip(keys, folds, batch.column(2)):
             tokens = words_of(text.as_py())
-            found = np.array([ids.get(w, -1) for w in tokens], np.int64)
+            found = _found(ids, tokens)
             numbers = _numbers_of(words, tokens, found)
             counted = found[found >= 0]
             tails = counted[counted >= words.network] - words.network
