@@ -16,6 +16,10 @@ from rastro.session import pinned
 #: Keys of eight bytes that a broadcast may hold; larger sets go through a shuffle.
 BROADCAST_KEYS = 1_000_000
 
+#: Rows that travel to a Python worker at a time: texts are long, and both sides hold a batch.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_PER_BATCH = 1000
+
 #: Texts are worked on in slices of about so many bytes.
 SLICE = 1 << 20
 
@@ -151,11 +155,14 @@ def summed_vectors(parts: DataFrame, key: str = "chunk", value: str = "values")
 
 
 def reachable(spark: SparkSession) -> None:
-    """Lets Python workers find this package where the driver has it.
+    """Lets Python workers find this package where the driver has it, and take fewer rows at a
+    time, if the session has more than TEXTS_PER_BATCH.
 
     For sessions on one machine that were not started with the package on PYTHONPATH; on a
     cluster it comes with spark-submit (--py-files) or is installed.
     """
+    if not 0 < int(spark.conf.get(BATCH_ROWS)) <= TEXTS_PER_BATCH:
+        spark.conf.set(BATCH_ROWS, TEXTS_PER_BATCH)
     environment, here = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if here not in paths:

@@ -38,8 +38,6 @@ from rastro.llm.components import components
 N, PERCENT = 5, 80
 #: Counters of the sketch; its size does not depend on the corpus.
 SKETCH_BITS, CHUNK = 22, 1 << 16
-#: Counters are added up at so many tokens.
-HELD_TOKENS = 1 << 21
 #: Bits of a set's parity: token by token, one bit changes.
 PARITY_BITS = 2048
 #: Above the sketch's noise, a token in more texts than this counts as frequent.
@@ -84,15 +82,9 @@ def sketch(docs: DataFrame, n: int) -> np.ndarray:
     names = ["chunk", "values"]
 
     def count(batches):
-        total, held, waiting = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
+        total = np.zeros(1 << SKETCH_BITS, np.uint32)
         for _, _, _, sets in _sets(batches, 0, n):
-            held += sets
-            waiting += sum(map(len, sets))
-            if waiting >= HELD_TOKENS:
-                total += np.bincount(_bucket(np.concatenate(held)), minlength=len(total)).astype(np.uint32)
-                held, waiting = [], 0
-        if held:
-            total += np.bincount(_bucket(np.concatenate(held)), minlength=len(total)).astype(np.uint32)
+            np.add.at(total, _bucket(np.concatenate(sets)), np.uint32(1))
         rows = [zstandard.compress(row.tobytes(), 1) for row in total.reshape(-1, CHUNK)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(rows)), pa.int32()), pa.array(rows)], names=names)
 
