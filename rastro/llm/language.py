@@ -24,9 +24,9 @@ WIDTH, LENGTHS, CENTROIDS = 4096, (1, 2, 3), 4
 SAMPLE_ROWS = 400
 #: Rejected is what has less than this part of the least cosine that learned texts of the
 #: language have with their centroid.
-REJECTION = 0.5
+REJECTION = 0.4
 #: Fewer letters than this are no ground for a rejection.
-FEW_BYTES = 64
+FEW_BYTES = 200
 
 PARTS, PART = 3, 1
 UNKNOWN = "und"
