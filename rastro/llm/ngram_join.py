@@ -9,11 +9,15 @@ and only then are whole sets compared.
 Links are needed only until everything they connect is connected. So a bucket of texts with one
 token is not expanded into pairs: first all are held against one central text, then against one
 of the largest component, and only texts that are still apart are paired.
+
+All links of a text lie in its component. To count them, the sets of each component meet block
+against block, blocks having sets of about one size, and a block sends on sums and no pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +34,7 @@ from rastro.llm.common import (
     pinned,
     slices,
     text_bytes,
+    with_keys,
     without,
 )
 from rastro.llm.components import components
@@ -49,6 +54,9 @@ SETS = "doc_id long, n long, digest binary, centre int, parity array<long>, pref
 #: Texts of either side of a cell, and pairs that small cells are put together to: sets meet
 #: in cells, and a set is sent to a cell once.
 CELL_SETS, CELL_PAIRS = 1024, 2048
+#: Sets of a block whose links are counted, and tokens of them together; tokens that are laid
+#: out side by side at a time.
+BLOCK_SETS, BLOCK_TOKENS, SIDE_BY_SIDE = 256, 1 << 20, 4096
 
 
 def token_sets(data: np.ndarray, places: np.ndarray, n: int = N):
@@ -206,6 +214,55 @@ def similar_pairs(pairs: pa.Table, sets: pa.Table, level: np.ndarray, percent: i
     )
 
 
+def common_tokens(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set of ``a`` shares with each set of ``b``."""
+    sets = [*a, *b]
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, which, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Tokens of one set alone are shared with none.
+    place = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[which]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    total = np.zeros((len(a), len(b)), np.float64)
+    for low in range(0, int(place[-1]) + 1, SIDE_BY_SIDE):
+        first, last = np.searchsorted(place, (low, low + SIDE_BY_SIDE))
+        there = np.zeros((len(sets), SIDE_BY_SIDE), np.float32)
+        there[owner[first:last], place[first:last] - low] = 1
+        total += there[: len(a)] @ there[len(a) :].T
+    return total.astype(np.int64)
+
+
+def counted_links(rows: pa.Table, percent: int) -> pa.Table:
+    """(v, links): for each set of a cell, the documents of the sets that are similar to it.
+
+    ``rows`` has (key, side, v, weight, tokens): under each key the sets of side 0 meet those of
+    side 1, or those of side 2 each other.
+    """
+    blocks: dict[int, tuple[dict, dict, dict]] = {}
+    columns = (rows.column(c).to_pylist() for c in ("key", "side", "v", "weight", "tokens"))
+    for key, side, v, weight, tokens in zip(*columns):
+        # Repeated rows of one document are one set.
+        blocks.setdefault(key, ({}, {}, {}))[side][v] = (weight, np.frombuffer(tokens, np.uint64))
+    found: dict[int, int] = {}
+    for first, second, own in blocks.values():
+        for x, y in ((first, second), (own, own)):
+            if not x or not y:
+                continue
+            (wx, sx), (wy, sy) = zip(*x.values()), zip(*y.values())
+            sizes = np.array([len(s) for s in sx])[:, None] + np.array([len(s) for s in sy])
+            similar = (100 + percent) * common_tokens(sx, sy) >= percent * sizes
+            if x is y:
+                np.fill_diagonal(similar, False)
+            for v, links in zip(x, (similar @ np.array(wy, np.int64)).tolist()):
+                found[v] = found.get(v, 0) + links
+            if x is not y:
+                for v, links in zip(y, (np.array(wx, np.int64) @ similar).tolist()):
+                    found[v] = found.get(v, 0) + links
+    return pa.table(
+        {"v": pa.array(list(found), pa.int64()), "links": pa.array(list(found.values()), pa.int64())}
+    )
+
+
 class NgramJoin:
     """One run over a table of documents; ``result`` is the table of components."""
 
@@ -355,7 +412,8 @@ class NgramJoin:
         )
         return self.pairs(joined, F.col("o.main"), F.col("o.v"), F.col("r.v"))
 
-    def result(self) -> DataFrame:
+    def connected(self) -> tuple[DataFrame, DataFrame]:
+        """The documents that are copies (doc_id, v), and (v, component) of all sets with links."""
         copies = pinned(self.copies())
         postings = pinned(self.postings(copies, copies.count()))
         self.release()
@@ -370,7 +428,85 @@ class NgramJoin:
             fresh = self.linked(pairs)
             links = fresh if links is None else links.union(fresh)
             self.release()
-        found = components(links)
+        return copies, components(links)
+
+    def link_counts(self, found: DataFrame) -> DataFrame:
+        """(doc_id, n_links) of the documents that link with others; ``found`` has the sets'
+        components."""
+        there = self.table.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "digest", "n").distinct()
+        classes = pinned(
+            there.groupBy("digest", "n").agg(F.min("doc_id").alias("v"), F.count(F.lit(1)).alias("weight"))
+        )
+        # Similar sets are of one step of sizes or of two that follow each other.
+        width = 1.001 * max(math.log(100 / self.percent), 0.01)
+        members = pinned(
+            found.join(classes, "v").withColumn("step", F.floor(F.log(F.col("n").cast("double")) / width))
+        )
+        blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_SETS, F.sum("n") / BLOCK_TOKENS)).cast("long")
+        sizes = pinned(members.groupBy("component", "step").agg(blocks.alias("blocks")))
+        small = sizes.count() <= BROADCAST_KEYS
+        for name, by in (("below", 1), ("above", -1)):
+            beside = sizes.select("component", (F.col("step") + by).alias("step"), F.col("blocks").alias(name))
+            members = members.join(F.broadcast(beside) if small else beside, ["component", "step"], "left")
+        members = members.join(F.broadcast(sizes) if small else sizes, ["component", "step"])
+        members = members.withColumn("block", F.pmod(F.xxhash64("v"), F.col("blocks")))
+        step, block = F.col("step"), F.col("block")
+
+        def cells(count: str, cell) -> Column:
+            """A cell for each block of the step that has ``count`` of them."""
+            numbers = F.sequence(F.lit(0).cast("long"), F.col(count) - 1)
+            return F.when(F.col(count) > 0, F.transform(numbers, cell)).otherwise(F.array())
+
+        def cell(side, *place) -> Column:
+            return F.struct(side.alias("side"), F.xxhash64("component", *place).alias("key"))
+
+        sides = [F.lit(x) for x in range(3)]
+        own = cells(
+            "blocks",
+            lambda j: cell(
+                F.when(block == j, sides[2]).when(block < j, sides[0]).otherwise(sides[1]),
+                *(step, F.least(block, j), step, F.greatest(block, j)),
+            ),
+        )
+        below = cells("below", lambda j: cell(sides[1], step - 1, j, step, block))
+        above = cells("above", lambda j: cell(sides[0], step, block, step + 1, j))
+        celled = pinned(
+            members.select("v", "n", "weight", F.explode(F.concat(own, below, above)).alias("c")).select(
+                "v", "n", "weight", "c.*"
+            )
+        )
+        rows, tokens = celled.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        groups = max(rows // CELL_PAIRS, tokens // (2 * BLOCK_TOKENS)) + 1
+        keys = members.select(F.col("v").alias("doc_id"))
+        sets = cell_sets(
+            with_keys(self.docs, keys, "doc_id", rows).withColumn("cell", F.lit(0).cast("long")), self.n
+        )
+        placed = celled.select("v", "weight", "side", "key", F.pmod("key", F.lit(groups)).alias("cell"))
+        met = sets.drop("cell").join(F.broadcast(placed) if rows <= BROADCAST_KEYS else placed, "v")
+        percent = self.percent
+        sums = met.groupBy("cell").applyInArrow(lambda table: counted_links(table, percent), "v long, links long")
+        linked = classes.join(sums.groupBy("v").agg(F.sum("links").alias("links")), "v", "left")
+        # Copies of a set link with each other, too.
+        links = F.coalesce("links", F.lit(0)) + F.col("weight") - 1
+        counts = pinned(linked.select("digest", links.alias("n_links")).filter("n_links > 0"))
+        small = counts.count() <= BROADCAST_KEYS
+        return there.join(F.broadcast(counts) if small else counts, "digest").select("doc_id", "n_links")
+
+    def result(self, counted: bool = False) -> DataFrame:
+        copies, found = self.connected()
+        if counted:
+            found = pinned(found)
+        out = self.members(copies, found)
+        if not counted:
+            return out
+        links = pinned(self.link_counts(found))
+        small = links.count() <= BROADCAST_KEYS
+        return out.join(F.broadcast(links) if small else links, "doc_id", "left").select(
+            *out.columns, F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")
+        )
+
+    def members(self, copies: DataFrame, found: DataFrame) -> DataFrame:
+        """Every document with its component."""
         of_copies = copies.join(found, "v", "left").select(
             "doc_id", F.coalesce("component", "v").alias("component_id")
         )
@@ -407,6 +543,16 @@ def near_duplicates(docs: DataFrame, n: int = N, percent: int = PERCENT) -> Data
     return NgramJoin(docs, n, percent).result()
 
 
+def link_counts(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
+    """What near_duplicates returns, and n_links: the number of other documents that each one
+    links with, copies among them.
+
+    Every link counts, also inside a component that others connect already. Rows without an id
+    have no links; repeated rows of one doc_id are one document and have its count each.
+    """
+    return NgramJoin(docs, n, percent).result(counted=True)
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Documents without those that link to one with a smaller doc_id, all columns kept."""
     return without(docs, near_duplicates(docs).filter("component_id <> doc_id"))

@@ -87,6 +87,16 @@ LEFT JOIN (SELECT v AS doc_id, min(r) AS component_id FROM reach GROUP BY v) c U
 """
 
 
+@query("op1_ngram_jaccard_links")
+def op1_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_counts(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op1_ngram_jaccard_links"] = ORACLE["op1_ngram_jaccard_join"].replace(
+    "c.component_id\n", "c.component_id, coalesce(l.k, 0)::BIGINT AS n_links\n"
+) + "LEFT JOIN (SELECT a AS doc_id, count(*) AS k FROM ways GROUP BY a) l USING (doc_id)\n"
+
+
 @query("op2_html_extraction")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))

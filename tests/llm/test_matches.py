@@ -82,6 +82,31 @@ def test_join_of_odd_rows(table, odd_rows):
     assert ngram_join.near_duplicates(table([])).count() == 0
 
 
+def brute_links(rows):
+    sets = {i: shingles(t) for i, t in rows if i is not None}
+    similar = lambda a, b: a and b and 100 * len(a & b) >= 80 * len(a | b)
+    return {i: sum(bool(similar(a, b)) for j, b in sets.items() if j != i) for i, a in sets.items()}
+
+
+def test_every_link_is_counted(table, odd_rows, monkeypatch):
+    """Links inside a component that others connect already count as well, across blocks and
+    steps of sizes, copies each."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 5)
+    random = np.random.default_rng(5)
+    base = " ".join(f"t{random.integers(400)}" for _ in range(120))
+    rows = [(1000 + i, edited(base, random, int(random.integers(0, 5)))) for i in range(40)]
+    rows += [(1100 + i, " ".join(base.split()[: 120 - 3 * i])) for i in range(25)]
+    rows += [(1200 + i, t) for i, (_, t) in enumerate(rows[::7])] + odd_rows
+    found = ngram_join.link_counts(table(rows)).collect()
+    assert len(found) == len(rows)
+    want = brute_links(rows)
+    assert max(want.values()) > 20
+    assert {r.doc_id: r.n_links for r in found if r.doc_id is not None} == want
+    component = {i: c for i, _, c in brute_components(rows)}
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == component
+    assert [r.n_links for r in found if r.doc_id is None] == [0, 0]
+
+
 def test_prefix_holds_a_shared_token_under_every_order():
     random = np.random.default_rng(3)
     level = lambda x: (x % np.uint64(7) == 0).astype(np.uint8) * 5
