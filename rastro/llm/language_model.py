@@ -29,11 +29,13 @@ from rastro.llm.folds import held_out
 PARTS, PART = 7, 2
 
 #: Words with a place in the network, words of a class, and classes by ending.
-VOCABULARY, CLASS_WORDS, ENDINGS = 511, 64, 24
+VOCABULARY, CLASS_WORDS, ENDINGS = 4095, 64, 64
 #: Words whose counts every task holds, and bytes of the longest; the rest is joined.
 COUNTED, COUNTED_BYTES = 400_000, 64
-WIDTH, STATE = 8, 12
-LANES, WINDOW, RATE = 512, 16, 0.015
+WIDTH, STATE = 16, 16
+LANES, WINDOW, RATE = 128, 16, 0.004
+#: Scoring gives the same for any number of lanes.
+SCORE_LANES = 512
 #: Every training document is in one round.
 ROUNDS = 4
 #: Tokens that a task holds at a time, in training and in scoring.
@@ -342,7 +344,7 @@ def score(network: Network, documents: list[np.ndarray], end: int, window: int =
     """Natural log-likelihood of each whole document, the end included."""
     # As many lanes as the longest document allows to be of one length.
     sizes = [len(d) + 1 for d in documents]
-    lanes = min(2 * LANES, len(documents), max(1, sum(sizes) // max(sizes)))
+    lanes = min(SCORE_LANES, len(documents), max(1, sum(sizes) // max(sizes)))
     loads = [(0, i) for i in range(lanes)]
     held: list[list[int]] = [[] for _ in range(lanes)]
     for d in sorted(range(len(documents)), key=lambda d: -len(documents[d])):

@@ -76,6 +76,19 @@ def lexicon():
     return lm.Lexicon([b"w%d" % i for i in range(150)], counts, int(counts.sum()), 151, 20, tail * 2, tail)
 
 
+def test_words_have_places_of_their_own():
+    """The 4,095 commonest words are inputs and outputs of the network, not their ending alone."""
+    counts = np.arange(5000, 0, -1).astype(float)
+    tail = np.ones(lm.ENDINGS)
+    words = lm.Lexicon([b"w%d" % i for i in range(5000)], counts, int(counts.sum()), 5001, 20, tail, tail)
+    words.prepare()
+    network = lm.Network(words)
+    assert words.inputs[:4095].tolist() == list(range(4095))
+    assert network.p["word"].shape[0] * lm.CLASS_WORDS == 4096 and lm.ENDINGS == 64
+    assert network.p["embed"].shape == (4096 + 64, 16) and lm.STATE == 16
+    assert (lm.LANES, lm.RATE) == (128, 0.004)
+
+
 def test_probabilities_add_up_to_one(lexicon):
     network = lm.Network(lexicon)
     network.p["out"] += np.random.default_rng(2).normal(size=network.p["out"].shape).astype(np.float32)
