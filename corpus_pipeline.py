@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; its result is
 written and read again as the next one's docs. All but the last return the columns of docs.
-Rows without a doc_id pass the filters, as results name documents by it; packing takes them as
+Verdicts hold for rows, whether their doc_id is repeated or not; of near copies one row stays. Rows
+without a doc_id pass the first two filters and are judged by the others; packing takes them as
 documents of their own. Empty tables pass through empty.
 """
 
@@ -31,7 +32,7 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies."""
+    """Keeps one row with the smallest id of each group of near copies."""
     reachable(spark)
     return ngram_join.one_of_each(docs)
 

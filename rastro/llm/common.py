@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rastro.session import pinned
 
@@ -20,6 +21,9 @@ BROADCAST_KEYS = 1_000_000
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TEXTS_PER_BATCH = 1000
 
+#: The column of row numbers.
+ROW = "_row_number"
+
 #: Texts are worked on in slices of about so many bytes.
 SLICE = 1 << 20
 
@@ -130,14 +134,22 @@ def with_keys(df: DataFrame, keys: DataFrame, name: str, rows: int) -> DataFrame
     return df.join(F.broadcast(keys) if rows <= BROADCAST_KEYS else keys, name, "left_semi")
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Documents whose doc_id is not among the ids of ``gone``, all columns and their order kept.
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number each, written once, so that a verdict names one row."""
+    return pinned(docs.withColumn(ROW, F.monotonically_increasing_id()))
 
-    Rows without an id stay: nothing names them.
-    """
-    keys = pinned(gone.select(F.col("doc_id").alias("_gone")).filter("_gone IS NOT NULL").distinct())
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Of numbered rows those whose number is not in ``gone``, the number dropped."""
+    keys = pinned(gone.select(F.col(ROW).alias("_gone_row")))
     small = keys.count() <= BROADCAST_KEYS
-    return docs.join(F.broadcast(keys) if small else keys, docs["doc_id"] == keys["_gone"], "left_anti")
+    kept = rows.join(F.broadcast(keys) if small else keys, rows[ROW] == keys["_gone_row"], "left_anti")
+    return kept.drop(ROW)
+
+
+def with_whole(result: str, given: DataFrame) -> StructType:
+    """The columns of ``result``, and the rows themselves if ``given`` has them as ``_all``."""
+    return StructType(StructType.fromDDL(result).fields + [f for f in given.schema if f.name == "_all"])
 
 
 def summed_vectors(parts: DataFrame, key: str = "chunk", value: str = "values") -> DataFrame:
@@ -177,9 +189,11 @@ __all__ = [
     "ALPHANUMERIC",
     "BROADCAST_KEYS",
     "NOT_SPACE",
+    "ROW",
     "Words",
     "grams",
     "mixed",
+    "numbered",
     "pinned",
     "reachable",
     "read",
@@ -187,5 +201,6 @@ __all__ = [
     "summed_vectors",
     "text_bytes",
     "with_keys",
+    "with_whole",
     "without",
 ]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rastro.llm.common import ALPHANUMERIC, Words, grams, slices, text_bytes, without
+from rastro.llm.common import ALPHANUMERIC, ROW, Words, grams, numbered, slices, text_bytes, without
 
 #: Words of a shared span; k-grams of K words in windows of WINDOW of them guarantee it.
 SPAN, K = 13, 6
@@ -241,5 +241,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, one_in: int = 20) -> Da
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, one_in: int = 20) -> DataFrame:
-    """The documents that are not contaminated, all their columns kept."""
-    return without(docs, contamination(docs, benchmark, one_in).filter("contaminated"))
+    """The rows that are not contaminated, each judged by its own text, all their columns kept."""
+    rows = numbered(docs)
+    found = contamination(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark, one_in)
+    return without(rows, found.filter("contaminated").select(F.col("doc_id").alias(ROW)))

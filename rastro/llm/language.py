@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastro.llm.common import SLICE, slices, text_bytes, without
+from rastro.llm.common import SLICE, slices, text_bytes, with_whole
 from rastro.llm.folds import held_out, sampled
 
 #: Vector places, n-gram lengths and centroids for each language.
@@ -164,14 +164,14 @@ def learned(docs: DataFrame) -> Model | None:
     return Model(weights, names, np.concatenate(centroids).astype(np.float32), np.array(least, np.float32))
 
 
-def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: Model | None = None, whole: bool = False) -> DataFrame:
     """doc_id, held_out, lang_pred, score (cosine, 0 to 1) and rejected for every document.
 
     Learned from text and language of documents whose crc32(doc_id) modulo PARTS is not PART; a
     prediction depends on the text alone. Null texts and texts without a letter are ``und`` with
     score 0 and rejected, as is everything if there is nothing to learn from. Rejected as well
     are texts of some length that are far from every centroid; they still name the nearest.
-    Short texts are never rejected for their distance. Equal cosines go to the first language
+    Short texts are never rejected for their distance. With ``whole`` the row itself is ``_all``. Equal cosines go to the first language
     by name. Rows without an id are judged and never learned from; repeated rows are judged
     alike; long texts are counted slice by slice; an empty table gives an empty table. Columns
     other than doc_id, text and lang are not read.
@@ -199,16 +199,24 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
                     ),
                     pa.array(np.where(letters, score, 0.0).astype(float), pa.float64()),
                     pa.array(far | ~letters, pa.bool_()),
+                    *(c.slice(low, high - low) for c in batch.columns[3:]),
                 ],
-                names=["doc_id", "held_out", "lang_pred", "score", "rejected"],
+                names=["doc_id", "held_out", "lang_pred", "score", "rejected", *batch.schema.names[3:]],
             )
 
     given = docs.select(
-        F.col("doc_id").cast("long"), held_out("doc_id", PARTS, PART).alias("held_out"), "text"
+        F.col("doc_id").cast("long"),
+        held_out("doc_id", PARTS, PART).alias("held_out"),
+        "text",
+        *([F.struct(*(docs[c] for c in docs.columns)).alias("_all")] if whole else []),
     )
-    return given.mapInArrow(judge, RESULT)
+    return given.mapInArrow(judge, with_whole(RESULT, given))
 
 
 def recognised(docs: DataFrame) -> DataFrame:
-    """The documents that are not rejected, all their columns kept."""
-    return without(docs, identify(docs).filter("rejected"))
+    """The rows that are not rejected, each judged by its own text, all their columns kept.
+
+    Rows without an id stay.
+    """
+    judged = identify(docs, whole=True)
+    return judged.filter("NOT rejected OR doc_id IS NULL").select("_all.*")

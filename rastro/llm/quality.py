@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastro.llm.common import text_bytes, without
+from rastro.llm.common import text_bytes, with_whole
 from rastro.llm.folds import held_out, sampled
 
 #: Labelled texts of each class that are learned from, chosen by hash, and the bytes of the
@@ -146,14 +146,16 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model:
     )
 
 
-def quality(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> DataFrame:
+def quality(
+    docs: DataFrame, labels: DataFrame, model: Model | None = None, whole: bool = False
+) -> DataFrame:
     """doc_id, held_out, score (0 to 1, higher for good text) and predicted for every document.
 
     Labels are learned from documents whose crc32(doc_id) modulo PARTS is not PART; a score
     depends on the text alone. Null texts are scored as empty ones. Without labels every score
     is 0.5. Rows without an id are scored and never learned from; repeated rows are scored each
     and equally; a long text is compressed as a whole, by itself; an empty table gives an empty
-    table. Columns other than doc_id and text, and quality of the labels, are not read.
+    table. Columns other than doc_id and text, and quality of the labels, are not read. With ``whole`` the row itself is ``_all``.
     """
     model = model or learned(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -167,16 +169,24 @@ def quality(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> D
                     batch.column(1),
                     pa.array(scores, pa.float64()),
                     pa.array((scores >= ACCEPTED).astype(np.int32), pa.int32()),
+                    *batch.columns[3:],
                 ],
-                names=["doc_id", "held_out", "score", "predicted"],
+                names=["doc_id", "held_out", "score", "predicted", *batch.schema.names[3:]],
             )
 
     given = docs.select(
-        F.col("doc_id").cast("long"), held_out("doc_id", PARTS, PART).alias("held_out"), "text"
+        F.col("doc_id").cast("long"),
+        held_out("doc_id", PARTS, PART).alias("held_out"),
+        "text",
+        *([F.struct(*(docs[c] for c in docs.columns)).alias("_all")] if whole else []),
     )
-    return given.mapInArrow(score, RESULT)
+    return given.mapInArrow(score, with_whole(RESULT, given))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not scored below ACCEPTED, all their columns kept."""
-    return without(docs, quality(docs, labels).filter("predicted = 0"))
+    """The rows that are not scored below ACCEPTED, each by its own text, all their columns kept.
+
+    Rows without an id stay.
+    """
+    judged = quality(docs, labels, whole=True)
+    return judged.filter("predicted <> 0 OR doc_id IS NULL").select("_all.*")

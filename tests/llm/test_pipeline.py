@@ -56,3 +56,21 @@ def test_stages_keep_columns_and_survive_odd_rows(spark, sf_dir, table, odd_rows
     assert sum(r.doc_id is None for r in out.collect()) == 2
     empty = stage(spark, table([]), sf_dir)
     assert empty.columns == rows.columns and empty.count() == 0
+
+
+def test_verdicts_hold_for_rows_and_not_for_ids(spark, sf_dir, table):
+    """Repeated ids: of a table ingested twice one row of each group stays, and a rejected row
+    takes none with it that has its id."""
+    stages = dict(corpus_pipeline.STAGES)
+    item = next(r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if len(r.text.split()) > 15)
+    plain = "Some quiet words that no list of questions has ever held, in one row."
+    rows = [(1, plain), (1, plain), (2, plain), (3, item), (3, "Another text with the same number."), (None, item)]
+    rows += [(None, plain), (4, "12 345 !!"), (4, plain + " It goes on for a while, with other words.")]
+    out = lambda name: sorted(
+        ((r.doc_id, r.text) for r in stages[name](spark, table(rows, {1: "en", 2: "en"}), sf_dir).collect()), key=str
+    )
+    assert out("n-gram Jaccard join") == sorted([rows[0], rows[3], rows[4], rows[7], rows[8]], key=str)
+    assert out("benchmark decontamination") == sorted([r for r in rows if r[1] != item], key=str)
+    # The passage is far from the language learned; without an id it stays.
+    gone = ((3, item), (4, "12 345 !!"))
+    assert out("language ID") == sorted([r for r in rows if r not in gone], key=str)
