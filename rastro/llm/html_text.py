@@ -56,13 +56,20 @@ MARKS = set(
     "contentinfo search hidden".split()
 )
 
+# Names that begin so tell what stands beside an element, not what it is.
+LAYOUT = {"has", "no", "with", "without"}
+# The header of one of these has its title.
+TITLED = set("article post entry story content".split())
+# A mark does not count on an element with this share of the page's text or more.
+MOST = 0.8
+
 _TAG = re.compile(
     r"<(?:(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)"
     r"|!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z))",
     re.S,
 )
-_MARKED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 PUNCTUATION = ".,;:!?。，、؟…"
@@ -82,35 +89,45 @@ class _Open(NamedTuple):
     path: str
     within: tuple[int, ...]
     never: bool
+    #: Numbers of the open elements whose class, id or role is marked.
+    marks: tuple[int, ...]
     #: Whether the element itself is marked.
     own: bool
 
 
-_ROOT = _Open("", "", (), False, False)
+_ROOT = _Open("", "", (), False, (), False)
 
 
-def _never(name: str, attributes: str) -> bool:
+def _never(name: str, attributes: str) -> tuple[bool, bool]:
+    """Whether an element is never content, and whether it is marked as none."""
     if name in NEVER:
-        return True
+        return True, False
     if not attributes or name in ("html", "body"):
-        return False
-    if _HIDDEN.search(attributes):
-        return True
-    for _, *values in _MARKED.findall(attributes):
-        for token in "".join(values).split():
-            parts = _WORD.findall(_CAMEL.sub("-", token).lower())
-            # The first and the last part name a thing; those between only describe it.
-            if parts and (parts[0] in MARKS or parts[-1] in MARKS):
-                return True
-    return False
+        return False, False
+    given: dict[str, str] = {}
+    for key, *values in _ATTRIBUTE.findall(attributes):
+        given.setdefault(key.lower(), "".join(values))
+    if "hidden" in given or given.get("aria-hidden", "").strip().lower() == "true":
+        return True, False
+    if _NO_DISPLAY.search(given.get("style", "")):
+        return True, False
+    for token in " ".join(given.get(key, "") for key in ("class", "id", "role")).split():
+        parts = _WORD.findall(_CAMEL.sub("-", token).lower())
+        if not parts or parts[0] in LAYOUT or (parts[0] in TITLED and parts[-1] == "header"):
+            continue
+        # The first and the last part name a thing; those between only describe it.
+        if parts[0] in MARKS or parts[-1] in MARKS:
+            return False, True
+    return False, False
 
 
 def blocks_of(html: str) -> list[Block]:
     """The text blocks of a page in their order, white space inside them made one space."""
     blocks: list[Block] = []
+    marks: list[tuple[int, ...]] = []
     stack: list[_Open] = [_ROOT]
     held: list[str] = []
-    numbers = 0
+    numbers = marked = 0
 
     def end_block() -> None:
         if held:
@@ -120,6 +137,7 @@ def blocks_of(html: str) -> list[Block]:
             if text:
                 top = stack[-1]
                 blocks.append(Block(top.path, top.within, top.never, text))
+                marks.append(top.marks)
 
     low, n = 0, len(html)
     while low < n:
@@ -155,8 +173,8 @@ def blocks_of(html: str) -> list[Block]:
             if name in BLOCKS:
                 end_block()
             continue
-        never = _never(name, tag[3])
-        if name in BLOCKS or never:
+        never, own = _never(name, tag[3])
+        if name in BLOCKS or never or own:
             end_block()
         if name in BLOCKS:
             for i in range(len(stack) - 1, 0, -1):
@@ -168,15 +186,29 @@ def blocks_of(html: str) -> list[Block]:
                 elif open_name in BLOCKS and open_name not in ENDS:
                     break
             numbers += 1
-            top = stack[-1]
-            stack.append(
-                _Open(name, f"{top.path}/{name}", (*top.within, numbers), top.never or never, never)
-            )
-        else:
-            top = stack[-1]
-            stack.append(_Open(name, top.path, top.within, top.never or never, never))
+        marked += own
+        top = stack[-1]
+        path, within = top.path, top.within
+        if name in BLOCKS:
+            path, within = f"{path}/{name}", (*within, numbers)
+        under = (*top.marks, marked) if own else top.marks
+        stack.append(_Open(name, path, within, top.never or never, under, never or own))
     end_block()
-    return blocks
+    return _without_marked(blocks, marks)
+
+
+def _without_marked(blocks: list[Block], marks: list[tuple[int, ...]]) -> list[Block]:
+    """The blocks, those under a mark never content, unless most of the page's text is there."""
+    held: dict[int, int] = {}
+    total = 0
+    for b, under in zip(blocks, marks):
+        if not b.never:
+            total += len(b.text)
+            for number in under:
+                held[number] = held.get(number, 0) + len(b.text)
+    # If a page has no other text, there is nothing to tell it from a mere notice.
+    counts = {number for number, n in held.items() if n < MOST * total or n == total}
+    return [b._replace(never=b.never or any(x in counts for x in under)) for b, under in zip(blocks, marks)]
 
 
 _NEAR = np.exp(-0.5 * np.arange(-3, 4) ** 2.0)
@@ -212,18 +244,20 @@ def content(blocks: list[Block], threshold: float = 0.5) -> list[Block]:
     # The element that holds most of the kept text holds the rest of it, too.
     held: dict[int, float] = {}
     depth: dict[int, int] = {}
+    names: dict[int, str] = {}
     kept = [b for b, i in zip(blocks, which) if not b.never and fused[i] >= least and fused[i] > 0]
     total = sum(len(b.text) for b in kept)
     for b in kept:
+        path = b.path.split("/")[1:]
         for d, number in enumerate(b.within[:-1] or b.within):
             held[number] = held.get(number, 0) + len(b.text)
-            depth[number] = d
+            depth[number], names[number] = d, path[d]
     holders = [x for x in held if held[x] >= 0.9 * total]
     if not holders:
         return kept
     holder = max(holders, key=lambda x: depth[x])
     # The body and what is above it hold the page, not the article alone.
-    if depth[holder] < 2:
+    if names[holder] in ("html", "body"):
         return kept
     return [b for b in usable if holder in b.within]
 

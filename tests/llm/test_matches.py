@@ -390,3 +390,20 @@ def test_bounds_are_never_below_the_score():
 def test_covered_words(spark):
     df = spark.createDataFrame([([(0, 5), (3, 9), (20, 22)],), ([],)], "s array<struct<start:int,end:int>>")
     assert [r[0] for r in df.select(decontamination.covered(F.col("s"))).collect()] == [11, 0]
+
+
+def test_names_of_layout_do_not_empty_a_page():
+    """Marks need the element's own name and no more than a part of the page, hidden needs the attribute."""
+    words = "A sentence of the article, with a comma and an end. " * 6
+    inner = f"<h1>Title</h1><p>{words}</p><p title='the hidden truth'>{words}</p><p>Short.</p>"
+    want = "\n".join(["Title", words.strip(), words.strip(), "Short."])
+    menu = "<nav><a href='/'>Home</a></nav><div class='sidebar'>Other pages</div><div hidden>Not seen.</div>"
+    for name in ("content has-sidebar", "no-sidebar", "with-comments", "main"):
+        page = f"<html><body>{menu}<div class='{name}'>{inner}</div></body></html>"
+        assert html_text.main_text(page) == want, name
+    titled = inner.replace("<h1>Title</h1>", "<div class='article-header'><h1>Title</h1></div>")
+    assert html_text.main_text(f"<html><body>{menu}<div>{titled}</div></body></html>") == want
+    most = f"<html><body><div class='social'>{inner}</div><div>Beside it.</div></body></html>"
+    assert words.strip() in html_text.main_text(most)
+    # Without html and body the article is still the holder.
+    assert html_text.main_text(f"{menu}<article>{inner}</article>") == want
