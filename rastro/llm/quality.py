@@ -184,9 +184,6 @@ def quality(
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows that are not scored below ACCEPTED, each by its own text, all their columns kept.
-
-    Rows without an id stay.
-    """
+    """The rows that are not scored below ACCEPTED, each by its own text, all their columns kept."""
     judged = quality(docs, labels, whole=True)
-    return judged.filter("predicted <> 0 OR doc_id IS NULL").select("_all.*")
+    return judged.filter("predicted <> 0").select("_all.*")
