@@ -15,6 +15,7 @@ from rastro.llm import (
     ngram_join,
     packing,
     quality,
+    repeats,
     token_counts,
     topk,
     url_rules,
@@ -230,3 +231,31 @@ ranked AS (
     FROM scored)
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query("op11_substring_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.without_repeats(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op11_substring_dedup"] = r"""
+WITH docs AS MATERIALIZED (
+    SELECT doc_id, row_number() OVER () AS n,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+windows AS MATERIALIZED (
+    SELECT n, i, array_to_string(list_slice(w, i, i + 34), ' ') AS s
+    FROM (SELECT n, w, unnest(range(1, len(w) - 33)) AS i FROM docs)),
+repeated AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+gone AS MATERIALIZED (
+    SELECT DISTINCT n, unnest(range(i, i + 35)) AS p FROM windows WHERE s IN (SELECT s FROM repeated)),
+left_over AS (
+    SELECT n, string_agg(word, ' ' ORDER BY p) AS kept
+    FROM (SELECT n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs) ANTI JOIN gone USING (n, p)
+    GROUP BY n)
+SELECT doc_id, len(w)::BIGINT AS n_words,
+       coalesce((SELECT count(*) FROM gone WHERE gone.n = docs.n), 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN left_over USING (n)
+"""
