@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rastro.llm import (
+    conversations,
     decontamination,
     hard_negatives,
     html_text,
@@ -291,3 +292,99 @@ mined AS (
 SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
 FROM mined WHERE rank <= 5
 """
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(read(spark, sf_dir, "conversations"))
+    return conversations.repair(rows, dropped="_dropped")
+
+
+ORACLE["op13_conversation_repair"] = r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list_transform(range(256), lambda n: list_reduce(
+        list_prepend(n, range(8)),
+        lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+named AS (
+    SELECT coalesce(conv_id::VARCHAR, ' ') AS k, conv_id, turn, coalesce(role, ' ') AS role,
+           coalesce(text, ' ') AS text,
+           list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                          lambda x: ascii(x)::BIGINT) AS bytes
+    FROM conversations),
+hashed AS (
+    SELECT * EXCLUDE (bytes, t), xor(list_reduce(
+        list_prepend(4294967295, bytes),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS h
+    FROM named, crc_table),
+damaged AS (
+    SELECT k, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+           CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END) AS copy
+    FROM hashed WHERE h <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+faults AS (
+    SELECT k, i, turn, role, text, CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS c,
+           CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault
+    FROM placed),
+coded AS MATERIALIZED (
+    SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000 ELSE 0 END AS gone,
+           CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more
+    FROM faults),
+sizes AS MATERIALIZED (SELECT k, max(i) AS n FROM coded GROUP BY k),
+costs(k, i, f) AS (
+    SELECT k, n + 1, [0, 10, 5, 0]::BIGINT[] FROM sizes
+    UNION ALL
+    SELECT k, i, [least(g[1], 5 + least(g[3], 5 + g[4])), least(g[2], 5 + least(g[3], 5 + g[4])),
+                  least(g[3], 5 + g[4]), least(g[4], 5 + g[3])]
+    FROM (
+        SELECT c.k, c.i, [
+            least(2 + f[1], 1 + gone + more + f[3],
+                  CASE c.c WHEN 's' THEN gone + more + f[2] WHEN 'u' THEN gone + more + f[3] ELSE 1000000 END),
+            least(2 + f[2], 1 + gone + more + f[3], CASE c.c WHEN 'u' THEN gone + more + f[3] ELSE 1000000 END),
+            least(2 + f[3], 1 + gone + more + f[4], CASE c.c WHEN 'a' THEN gone + more + f[4] ELSE 1000000 END),
+            least(2 + f[4], 1 + gone + more + f[3], CASE c.c WHEN 'u' THEN gone + more + f[3] ELSE 1000000 END)] AS g
+        FROM costs o JOIN coded c ON c.k = o.k AND c.i = o.i - 1)),
+vectors AS MATERIALIZED (SELECT * FROM costs),
+steps AS MATERIALIZED (
+    SELECT v.k, v.i, v.f, w.f AS after, c.c, coalesce(c.role, '') AS role, coalesce(c.text, '') AS text,
+           coalesce(more, 0) AS more, c.k IS NULL AS ended
+    FROM vectors v LEFT JOIN vectors w ON w.k = v.k AND w.i = v.i + 1
+    LEFT JOIN coded c ON c.k = v.k AND c.i = v.i),
+walk(k, i, q, audit, lines, ended) AS (
+    SELECT k, 1::BIGINT, 1, '', []::VARCHAR[], false FROM sizes
+    UNION ALL
+    SELECT k, CASE WHEN edit IN ('', 'I') THEN i ELSE i + 1 END,
+           CASE WHEN edit IN ('I', 'R') THEN nq
+                WHEN edit = 'K' THEN CASE c WHEN 's' THEN 2 WHEN 'u' THEN 3 ELSE 4 END ELSE q END,
+           audit || edit,
+           CASE edit WHEN 'I' THEN list_append(lines, given || ':') WHEN 'R' THEN list_append(lines, given || ':' || text)
+                     WHEN 'K' THEN list_append(lines, role || ':' || text) ELSE lines END,
+           edit = ''
+    FROM (
+        SELECT w.k, w.i, w.q, w.audit, w.lines, s.c, s.role, s.text,
+               CASE w.q WHEN 3 THEN 4 ELSE 3 END AS nq, CASE w.q WHEN 3 THEN 'assistant' ELSE 'user' END AS given,
+               CASE WHEN NOT s.ended AND s.f[w.q] = 2 + s.after[w.q] THEN 'D'
+                    WHEN s.f[w.q] = 5 + s.f[CASE w.q WHEN 3 THEN 4 ELSE 3 END] THEN 'I'
+                    WHEN s.ended THEN ''
+                    WHEN s.c = 's' AND w.q = 1 AND s.f[w.q] = s.more + s.after[2]
+                      OR s.c = 'u' AND w.q <> 3 AND s.f[w.q] = s.more + s.after[3]
+                      OR s.c = 'a' AND w.q = 3 AND s.f[w.q] = s.more + s.after[4] THEN 'K'
+                    ELSE 'R' END AS edit
+        FROM walk w JOIN steps s ON s.k = w.k AND s.i = w.i WHERE NOT w.ended)),
+walked AS (SELECT k, audit, array_to_string(lines, chr(10)) AS kept FROM walk WHERE ended),
+counted AS (
+    SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM (SELECT *, lag(c) OVER (PARTITION BY k ORDER BY i) AS before FROM coded) GROUP BY k)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, coalesce(v.f[1], 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(kept, '')) AS repaired_sha256
+FROM (SELECT DISTINCT k, conv_id FROM named) o LEFT JOIN counted USING (k) LEFT JOIN walked USING (k)
+LEFT JOIN vectors v ON v.k = o.k AND v.i = 1
+"""
