@@ -27,6 +27,7 @@ from rastro.plans.pipeline import index_train, recommend_all
 from rastro.schemas import CLUSTER_NAMES, EVENTS, FEATURE_COLUMNS
 from rastro.session import new_folder, pinned
 from rastro.sources import files, sinks, tables
+from rastro.streaming import events as st
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -419,6 +420,49 @@ def sample_users(spark, sf):
     return sp.sample_users(orders_of(spark, sf), SAMPLE_USERS)
 
 
+# --- streams -----------------------------------------------------------------
+
+#: The log arrives in so many deliveries, each of about so many files.
+DELIVERIES, FILES_PER_DELIVERY = 4, 4
+
+
+def write_landing(spark, sf):
+    """(folder, delay): the raw log as files that arrive one delivery after the other.
+
+    A delivery has a quarter of the log's time; what is delivered twice comes again one delivery
+    later. The delay is two deliveries long.
+    """
+    log, path = pinned(raw_log(spark, sf)), new_folder(spark, "landing")
+    first, last = log.agg(F.min("timestamp"), F.max("timestamp")).first()
+    span = (last - first) // DELIVERIES + 1
+    once = pinned(log.dropDuplicates().withColumn("_k", F.floor((F.col("timestamp") - first) / span)))
+    again = F.col("event").isin("transaction", "error")
+    for k in range(DELIVERIES + 1):
+        arriving = once.filter((F.col("_k") == k) | ((F.col("_k") == k - 1) & again)).drop("_k")
+        arriving.repartition(FILES_PER_DELIVERY).write.mode("append").parquet(path)
+    return path, f"{2 * span} milliseconds"
+
+
+@query("ext_stream_clean")
+def ext_stream_clean(spark, sf):
+    """The log cleaned as it arrives, file by file, into a table."""
+    path, delay = write_landing(spark, sf)
+    cleaned = st.clean_stream(st.stream_events(spark, path, FILES_PER_DELIVERY), delay)
+    out = st.write_available(cleaned, new_folder(spark, "cleaned"), new_folder(spark, "cleaning"))
+    return spark.read.parquet(out.path).select(*EVENTS.fieldNames())
+
+
+@query("ext_stream_counts")
+def ext_stream_counts(spark, sf):
+    """Hourly counts by type of event: closed windows, and those still open at the end."""
+    path, delay = write_landing(spark, sf)
+    cleaned = st.clean_stream(st.stream_events(spark, path, FILES_PER_DELIVERY), delay)
+    counted = st.hourly_counts(cleaned)
+    return st.all_counts(
+        spark, st.write_available(counted, new_folder(spark, "counted"), new_folder(spark, "counting"))
+    )
+
+
 # --- segments ----------------------------------------------------------------
 
 

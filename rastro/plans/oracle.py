@@ -362,6 +362,12 @@ ORACLE: dict[str, str] = {
     "clean_valid_event": _on_events(f"SELECT * FROM log WHERE {_VALID}"),
     "clean_cast_item": _on_events("SELECT * REPLACE (CAST(itemid AS BIGINT) AS itemid) FROM log"),
     "clean_events": _on_events("SELECT * FROM clean"),
+    "ext_stream_clean": _on_events("SELECT * FROM clean"),
+    "ext_stream_counts": _on_events(
+        """SELECT time_bucket(INTERVAL 1 HOUR, fecha) AS inicio,
+        time_bucket(INTERVAL 1 HOUR, fecha) + INTERVAL 1 HOUR AS fin, event, count(*) AS cantidad
+        FROM tr GROUP BY ALL"""
+    ),
     "clean_report": _on_events(
         """SELECT a AS filas_antes, b AS filas_despues, a - b AS eliminadas,
         round(100 * (a - b) / a, 2) AS pct_eliminadas
