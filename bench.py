@@ -14,7 +14,7 @@ import time
 
 from rastro.operators import aggregate as ag
 from rastro.operators import evaluate as ev
-from rastro.operators import ranker as rk
+from rastro.operators import neural as nn
 from rastro.operators import recommend as rec
 from rastro.operators import segments as sg
 from rastro.operators import split as sp
@@ -105,13 +105,8 @@ def main() -> None:
     fit.positives, fit.test_pairs  # noqa: B018 - inputs, not timed
     measure("rec_neg_train", lambda: drain(fit.training_pairs()), 1)
 
-    pairs = pinned(fit.training_pairs())
-    measure(
-        "ranker_fit_100_iterations",
-        lambda: rk.fit_ranker(pairs, model.userFactors, model.itemFactors, 64),
-        1,
-        False,
-    )
+    n_users, n_items = fit.indexed.users.count(), fit.indexed.items.count()
+    measure("ranker_fit_10_epochs", lambda: nn.fit_neural(fit.positives, n_users, n_items), 1, False)
     measure(
         "whole_run",
         lambda: run_pipeline(spark, [raw_csv], new_folder(spark, "bench-run")),

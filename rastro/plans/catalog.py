@@ -15,8 +15,8 @@ from rastro.operators import clean as cl
 from rastro.operators import evaluate as ev
 from rastro.operators import index as ix
 from rastro.operators import negatives as ng
+from rastro.operators import neural as nn
 from rastro.operators import perf
-from rastro.operators import ranker as rk
 from rastro.operators import recommend as rec
 from rastro.operators import segments as sg
 from rastro.operators import split as sp
@@ -40,6 +40,7 @@ TEST_USERS = 1000
 TRAIN_NEGATIVES = 4
 EVAL_NEGATIVES = 99
 FACTORS = 64
+EPOCHS = 10
 
 
 def query(name: str):
@@ -581,12 +582,8 @@ class Fitted:
 
     @cached_property
     def ranker(self):
-        return rk.fit_ranker(
-            pinned(self.training_pairs()),
-            self.als.userFactors,
-            self.als.itemFactors,
-            FACTORS,
-        )
+        n_users = self.indexed.users.count()
+        return nn.fit_neural(self.positives, n_users, self.indexed.items.count(), EPOCHS, TRAIN_NEGATIVES)
 
     @cached_property
     def event_factors(self):
@@ -672,6 +669,20 @@ def rec_neural_holds(spark, sf):
     )
 
 
+@query("rec_neural_loss_holds")
+def rec_neural_loss_holds(spark, sf):
+    """Epochs, losses that are no numbers, and whether the last loss is below the first."""
+    losses = fitted(spark, sf).ranker.losses
+    rows = [(epoch, loss) for epoch, loss in enumerate(losses)]
+    table = spark.createDataFrame(rows, "epoca int, perdida double")
+    last, first = F.max_by("perdida", "epoca"), F.min_by("perdida", "epoca")
+    return table.agg(
+        F.count(F.lit(1)).alias("epocas"),
+        F.count_if(~(F.col("perdida") < float("inf"))).alias("malas"),
+        (last < first).alias("baja"),
+    )
+
+
 @query("seg_kmeans_holds")
 def seg_kmeans_holds(spark, sf):
     """Users, and those that are nearer to another centre than to their own."""
@@ -777,9 +788,7 @@ def rec_neg_epochs(spark, sf):
 def rec_neural_rank(spark, sf):
     """Scores of the second ranker for every test pair."""
     fit = fitted(spark, sf)
-    return rk.score_with_ranker(
-        fit.ranker, fit.test_pairs, fit.als.userFactors, fit.als.itemFactors
-    )
+    return fit.ranker.score(fit.test_pairs)
 
 
 @query("rec_score_pairs")
@@ -883,14 +892,7 @@ def _als_sampled(spark, sf):
 def _ranker_sampled(spark, sf):
     fit = fitted(spark, sf)
     return ev.sampled_metrics(
-        *_sampled_scores(
-            spark,
-            sf,
-            lambda p: rk.score_with_ranker(
-                fit.ranker, p, fit.als.userFactors, fit.als.itemFactors
-            ),
-        ),
-        TOP_N,
+        *_sampled_scores(spark, sf, fit.ranker.score), TOP_N
     )
 
 

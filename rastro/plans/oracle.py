@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from rastro.plans.adapters import EVENT_NAMES, FLAG_NAMES, TWICE_DELIVERED
 from rastro.plans.catalog import (
+    EPOCHS,
     EVAL_NEGATIVES,
     SAMPLE_USERS,
     TEST_USERS,
@@ -477,6 +478,7 @@ ORACLE: dict[str, str] = {
         """SELECT 'usuario' AS tipo, count(*) AS ids, count(*) AS filas, 0::BIGINT AS malas FROM users
         UNION ALL SELECT 'producto', count(*), count(*), 0 FROM items"""
     ),
+    "rec_neural_loss_holds": f"SELECT {EPOCHS}::BIGINT AS epocas, 0::BIGINT AS malas, true AS baja",
     "rec_neural_holds": _on_train("SELECT count(*) AS pares, 0::BIGINT AS fuera FROM pairs"),
     "seg_kmeans_holds": _on_orders("SELECT count(*) AS usuarios, 0::BIGINT AS lejos FROM features", _FEATURES_CTE),
     "seg_relabel_holds": _on_orders(

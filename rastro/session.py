@@ -57,7 +57,11 @@ def remove_pinned(spark: SparkSession) -> None:
 
     For the end of a run: tables that were not written elsewhere are gone then.
     """
-    folder = f"{shared_folder(spark).rstrip('/')}/rastro-{spark.sparkContext.applicationId}"
+    remove_folder(spark, f"{shared_folder(spark).rstrip('/')}/rastro-{spark.sparkContext.applicationId}")
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Deletes one written table, by its owner, once nothing reads it any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
