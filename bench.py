@@ -20,7 +20,7 @@ from rastro.operators import segments as sg
 from rastro.operators import split as sp
 from rastro.plans import adapters as ad
 from rastro.plans import catalog
-from rastro.plans.pipeline import index_train, ingest, recommend_all, run_pipeline
+from rastro.plans.pipeline import index_train, ingest, ranking_of, recommend_all, run_pipeline
 from rastro.session import build_session, new_folder, pinned, remove_pinned
 from rastro.sources import files, sinks
 from rastro.sources.tables import read_table
@@ -88,16 +88,14 @@ def main() -> None:
     indexed = measure("index_and_matrix", lambda: index_train(train))
     model = measure("als_fit_64_factors_15_iterations", lambda: rec.fit_als(indexed.cells), 1, True)
     known = pinned(sp.known_in_train(test, indexed.cells))
+    index = measure("ranking_layout", lambda: ranking_of(model, indexed), 1)
     for n_users in (1, 1000, 10_000):
         users = pinned(sp.limit_test_users(indexed.users.select("visitorid"), n_users))
-        measure(f"top10_{n_users}_users", lambda: drain(recommend_all(model, indexed, users)), 1)
-
-    def scored_and_evaluated():
-        return ev.full_metrics(known, recommend_all(model, indexed, known)).collect()
+        measure(f"top10_{n_users}_users", lambda: drain(recommend_all(index, indexed, users)))
 
     # With the scoring of the whole catalogue, as all test users need it.
-    measure("eval_full_with_scoring", scored_and_evaluated, 1)
-    lists = pinned(recommend_all(model, indexed, known))
+    measure("eval_full_with_scoring", lambda: ev.metrics_of_places(index.places(known)).collect(), 1)
+    lists = pinned(recommend_all(index, indexed, known))
     hits = ev.user_hits(known, lists)
     measure("agg_hit_by_cluster", lambda: ag.hit_rate_by_cluster(hits, segments).collect())
 

@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from math import ceil
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rastro.functions.columns import dot
 from rastro.operators.split import sample_users
-from rastro.session import new_folder, pinned, shared_folder
+from rastro.operators.topn import RankIndex
+from rastro.session import shared_folder
 
 MIN_BLOCKS = 10
 MAX_INDEX = 2**31 - 1
 CELLS_PER_BLOCK = 1_000_000
-# A user with more seen items than this is ranked by the masked scan.
-HEAVY_SEEN = 4096
-HEAVY_CHUNK = 2048
-# Over-fetch steps: each user fetches N plus the next step above what it has seen.
-FETCH_STEPS = (16, 64, 128, 256, 512, 1024, 2048, HEAVY_SEEN)
-SCORED = "u_idx bigint, i_idx bigint, score double"
 
 
 def fit_als(
@@ -71,118 +63,24 @@ def fit_als(
     )
 
 
-def top_n_unseen(
-    model: ALSModel,
-    users: DataFrame,
-    seen: DataFrame,
-    n: int = 10,
-    heavy_seen: int = HEAVY_SEEN,
-) -> DataFrame:
-    """(u_idx, rank, i_idx, score): the n best items each user has not seen.
-
-    The model ranks all items; N + seen(u) of them are enough to have N left.
-    Users are grouped by how much they have seen, so that most fetch a short
-    list. Users beyond ``heavy_seen`` would need a list as long as the catalogue
-    and go through a scan that drops seen items before it ranks.
-    """
-    users = users.select("u_idx").distinct()
-    own_seen = seen.select("u_idx", "i_idx").join(users, "u_idx", "left_semi")
-    counts = own_seen.groupBy("u_idx").agg(F.count(F.lit(1)).alias("_n_seen"))
-    steps = [s for s in FETCH_STEPS if s < heavy_seen] + [heavy_seen]
-    n_seen = F.coalesce(F.col("_n_seen"), F.lit(0))
-    step = F.lit(None).cast("int")
-    for size in reversed(steps):
-        step = F.when(n_seen <= size, F.lit(size)).otherwise(step)
-    sized = pinned(users.join(counts, "u_idx", "left").select("u_idx", step.alias("_step")))
-    present = {row._step for row in sized.select("_step").distinct().collect()}
+def rank_index(model: ALSModel, users: DataFrame, items: DataFrame, seen: DataFrame) -> RankIndex:
+    """The model's factors with the ids of users (visitorid, u_idx) and items (itemid, i_idx), and
+    the seen pairs, laid out for ``RankIndex.lists`` and ``RankIndex.places``."""
+    left = model.userFactors.select(F.col("id").cast("bigint").alias("u_idx"), "features")
+    right = model.itemFactors.select(F.col("id").cast("bigint").alias("i_idx"), "features")
+    return RankIndex(users.join(left, "u_idx"), items.join(right, "i_idx"), seen)
 
-    lists = None
-    for size in steps:
-        if size not in present:
-            continue
-        group = sized.filter(F.col("_step") == size).select(F.col("u_idx").cast("int"))
-        fetched = model.recommendForUserSubset(group, n + size).select(
-            "u_idx", F.inline("recommendations")
-        )
-        rows = fetched.select(
-            F.col("u_idx").cast("bigint"),
-            F.col("i_idx").cast("bigint"),
-            F.col("rating").cast("double").alias("score"),
-        )
-        lists = rows if lists is None else lists.unionByName(rows)
-    if None in present:
-        heavy = _heavy_scores(model, sized.filter("_step is null"), own_seen, n)
-        lists = heavy if lists is None else lists.unionByName(heavy)
-    if lists is None:
-        lists = users.sparkSession.createDataFrame([], SCORED)
-    return rank_scores(lists.join(own_seen, ["u_idx", "i_idx"], "left_anti"), n)
 
-
-def _heavy_scores(model: ALSModel, heavy: DataFrame, seen: DataFrame, n: int) -> DataFrame:
-    """Each task's n best unseen items of its own items, for the heavy users.
-
-    There are at most nnz / heavy_seen such users; they travel in chunks of a
-    fixed number, and every chunk writes its part of one table. An item comes
-    with the heavy users that have seen it, so a task needs one pass over its
-    items and keeps n scores per user.
-    """
-    spark = heavy.sparkSession
-    factors = model.userFactors.select(F.col("id").cast("bigint").alias("u_idx"), "features")
-    chosen = pinned(heavy.select("u_idx").join(factors, "u_idx"))
-    chunks = max(1, ceil(chosen.count() / HEAVY_CHUNK))
-    numbered = chosen.withColumn("_chunk", F.pmod(F.hash("u_idx"), F.lit(chunks)))
-    items = pinned(
-        model.itemFactors.select(F.col("id").cast("bigint").alias("i_idx"), "features")
+def top_n_unseen(model: ALSModel, users: DataFrame, seen: DataFrame, n: int = 10) -> DataFrame:
+    """(u_idx, rank, i_idx, score): the n best items each user has not seen, the lower index
+    first on a tie."""
+    left = model.userFactors.select(F.col("id").cast("bigint").alias("u_idx"), "features")
+    right = model.itemFactors.select(F.col("id").cast("bigint").alias("i_idx"), "features")
+    index = RankIndex(
+        left.withColumn("visitorid", F.col("u_idx")), right.withColumn("itemid", F.col("i_idx")), seen
     )
-    path = new_folder(spark, "heavy")
-    for chunk in range(chunks):
-        members = numbered.filter(F.col("_chunk") == chunk)
-        rows = members.orderBy("u_idx").collect()
-        ids = np.array([r.u_idx for r in rows], dtype=np.int64)
-        matrix = np.array([r.features for r in rows], dtype=np.float32)
-        seen_by = (
-            seen.join(F.broadcast(members.select("u_idx")), "u_idx", "left_semi")
-            .groupBy("i_idx")
-            .agg(F.collect_set("u_idx").alias("seen_by"))
-        )
-        scored = items.join(seen_by, "i_idx", "left")
-        if rows:
-            scored.mapInPandas(_masked_top_n(ids, matrix, n), SCORED).write.parquet(
-                f"{path}/chunk={chunk}"
-            )
-    return spark.read.schema(SCORED).parquet(path).select("u_idx", "i_idx", "score")
-
-
-def _masked_top_n(ids: np.ndarray, matrix: np.ndarray, n: int):
-    place = {int(u): j for j, u in enumerate(ids)}
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best_scores = np.full((len(ids), 0), -np.inf)
-        best_items = np.zeros((len(ids), 0), dtype=np.int64)
-        for batch in batches:
-            if batch.empty:
-                continue
-            scores = (matrix @ np.stack(batch["features"]).astype(np.float32).T).astype(np.float64)
-            for column, users in enumerate(batch["seen_by"]):
-                if users is not None:
-                    scores[[place[int(u)] for u in users], column] = -np.inf
-            items = np.broadcast_to(batch["i_idx"].to_numpy(), scores.shape)
-            scores = np.concatenate([best_scores, scores], axis=1)
-            items = np.concatenate([best_items, items], axis=1)
-            # Best score first, the lower item first on a tie.
-            order = np.lexsort((items, -scores), axis=1)[:, :n]
-            best_scores = np.take_along_axis(scores, order, axis=1)
-            best_items = np.take_along_axis(items, order, axis=1)
-        kept = np.isfinite(best_scores)
-        yield pd.DataFrame(
-            {
-                "u_idx": np.repeat(ids, kept.sum(axis=1)),
-                "i_idx": best_items[kept],
-                "score": best_scores[kept],
-            }
-        )
-
-    return scan
+    lists = index.lists(users.select(F.col("u_idx").alias("visitorid")), n)
+    return lists.select(F.col("visitorid").alias("u_idx"), "rank", F.col("itemid").alias("i_idx"), "score")
 
 
 def rank_scores(
@@ -198,15 +96,6 @@ def rank_scores(
     return ranked.select(user, "rank", item, score)
 
 
-def with_ids(ranked: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Index columns back to ids: (visitorid, rank, itemid, score)."""
-    return (
-        ranked.join(users, "u_idx")
-        .join(items, "i_idx")
-        .select("visitorid", "rank", "itemid", "score")
-    )
-
-
 def popular_items(cells: DataFrame, n: int = 10) -> DataFrame:
     """(rank, itemid, score): the n items with the greatest summed weight, the lower id first
     on a tie."""
@@ -234,17 +123,10 @@ def users_with_recommendations(recommendations: DataFrame) -> DataFrame:
 
 
 def sample_recommendations(
-    model: ALSModel,
-    users: DataFrame,
-    items: DataFrame,
-    seen: DataFrame,
-    n_users: int = 100,
-    n: int = 10,
-    seed: int = 42,
+    index: RankIndex, users: DataFrame, n_users: int = 100, n: int = 10, seed: int = 42
 ) -> DataFrame:
     """Long-format lists for a seeded sample of users."""
-    chosen = users.join(sample_users(users, n_users, seed), "visitorid", "left_semi")
-    return with_ids(top_n_unseen(model, chosen, seen, n), users, items)
+    return index.lists(sample_users(users, n_users, seed), n)
 
 
 def score_pairs(

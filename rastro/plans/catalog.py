@@ -21,9 +21,10 @@ from rastro.operators import recommend as rec
 from rastro.operators import segments as sg
 from rastro.operators import split as sp
 from rastro.operators import transform as tr
+from rastro.operators.topn import RankIndex
 from rastro.plans import adapters as ad
 from rastro.plans import fixed
-from rastro.plans.pipeline import index_train, recommend_all
+from rastro.plans.pipeline import index_train, ranking_of, recommend_all
 from rastro.schemas import CLUSTER_NAMES, EVENTS, FEATURE_COLUMNS
 from rastro.session import new_folder, pinned
 from rastro.sources import files, sinks, tables
@@ -543,7 +544,19 @@ class Fitted:
 
     @cached_property
     def lists(self):
-        return pinned(recommend_all(self.als, self.indexed, self.known, TOP_N))
+        return pinned(recommend_all(self.ranking, self.indexed, self.known, TOP_N))
+
+    @cached_property
+    def ranking(self):
+        return ranking_of(self.als, self.indexed)
+
+    @cached_property
+    def fixed_ranking(self):
+        """The same layout over the event factors, whose products are exact."""
+        users, items = self.event_factors
+        by_user = self.indexed.users.join(users.withColumnRenamed("id", "u_idx"), "u_idx")
+        by_item = self.indexed.items.join(items.withColumnRenamed("id", "i_idx"), "i_idx")
+        return RankIndex(by_user, by_item, self.indexed.seen)
 
     @property
     def n_items(self):
@@ -744,21 +757,26 @@ def rec_topn_user(spark, sf):
     """The list of one user: the one with the lowest id."""
     fit = fitted(spark, sf)
     one = sp.limit_test_users(fit.indexed.users.select("visitorid"), 1)
-    return recommend_all(fit.als, fit.indexed, one, TOP_N)
+    return recommend_all(fit.ranking, fit.indexed, one, TOP_N)
 
 
 @query("rec_topn_batch")
 def rec_topn_batch(spark, sf):
     fit = fitted(spark, sf)
-    return recommend_all(fit.als, fit.indexed, fit.indexed.users, TOP_N)
+    return recommend_all(fit.ranking, fit.indexed, fit.indexed.users, TOP_N)
 
 
 @query("rec_sample_export")
 def rec_sample_export(spark, sf):
     fit = fitted(spark, sf)
-    return rec.sample_recommendations(
-        fit.als, fit.indexed.users, fit.indexed.items, fit.indexed.seen, SAMPLE_USERS, TOP_N
-    )
+    return rec.sample_recommendations(fit.ranking, fit.indexed.users, SAMPLE_USERS, TOP_N)
+
+
+@query("rec_topn_fixed")
+def rec_topn_fixed(spark, sf):
+    """Lists of all users under fixed factors."""
+    fit = fitted(spark, sf)
+    return recommend_all(fit.fixed_ranking, fit.indexed, fit.indexed.users, TOP_N)
 
 
 @query("rec_neg_train")
@@ -831,7 +849,19 @@ def eval_full(spark, sf):
 @query("eval_full_als")
 def eval_full_als(spark, sf):
     fit = fitted(spark, sf)
-    return ev.full_metrics(fit.known, fit.lists, TOP_N)
+    return ev.metrics_of_places(fit.ranking.places(fit.known), TOP_N)
+
+
+@query("eval_places")
+def eval_places(spark, sf):
+    """The place of every test item in the catalogue under fixed factors, by counting."""
+    fit = fitted(spark, sf)
+    return fit.fixed_ranking.places(fit.known)
+
+
+@query("eval_full_counted")
+def eval_full_counted(spark, sf):
+    return _rounded_metrics(ev.metrics_of_places(eval_places(spark, sf), TOP_N))
 
 
 @query("eval_hits_user")

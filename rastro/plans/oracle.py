@@ -208,6 +208,18 @@ def _factor_cte(name: str, key: str) -> str:
 FACTORS_SQL = _factor_cte("uf", "u_idx") + _factor_cte("vf", "i_idx")
 _DOT = "uf.v * vf.v + uf.a * vf.a + uf.t * vf.t"
 
+_UNSEEN = f""",
+  scored AS (SELECT visitorid, itemid, users.u_idx, items.i_idx, {_DOT} AS score FROM users JOIN uf USING (u_idx)
+    CROSS JOIN items JOIN vf USING (i_idx)),
+  unseen AS (SELECT * FROM scored ANTI JOIN seen_idx USING (u_idx, i_idx))"""
+_PLACES = _UNSEEN + """,
+  asked AS (SELECT known.visitorid, known.itemid, i_idx, score FROM known JOIN scored USING (visitorid, itemid)),
+  places AS (SELECT a.visitorid, a.itemid,
+      CASE WHEN NOT bool_or(seen.itemid IS NOT NULL) THEN 1 + count(*) FILTER (
+        u.score > a.score OR (u.score = a.score AND u.i_idx < a.i_idx)) END AS rank
+    FROM asked a JOIN unseen u USING (visitorid)
+    LEFT JOIN seen ON seen.visitorid = a.visitorid AND seen.itemid = a.itemid GROUP BY ALL)"""
+
 _REQUESTS = """(SELECT CAST(hour(ts) AS INTEGER) AS n_concurrentes, value AS latencia_s,
     (epoch_us(ts) // 1000) / 1000.0::DOUBLE AS inicio_s, event_type = 'error' AS error FROM events)"""
 
@@ -529,6 +541,15 @@ ORACLE: dict[str, str] = {
     ),
     "rec_users": _on_train("SELECT DISTINCT visitorid FROM lists", _LISTS),
     "eval_full": _on_train(_metrics(_ranked_test("lists")), _LISTS),
+    "eval_places": _on_train("SELECT * FROM places", FACTORS_SQL, _PLACES),
+    "eval_full_counted": _on_train(_metrics("places"), FACTORS_SQL, _PLACES),
+    "rec_topn_fixed": _on_train(
+        f"""SELECT visitorid, CAST(rank AS INTEGER) AS rank, itemid, score FROM (
+          SELECT *, row_number() OVER (PARTITION BY visitorid ORDER BY score DESC, i_idx) AS rank FROM unseen)
+        WHERE rank <= {TOP_N}""",
+        FACTORS_SQL,
+        _UNSEEN,
+    ),
     "eval_hits_user": _on_train(_HITS, _LISTS),
     "join_hits_segments": _on_train(
         f"SELECT visitorid, hit, cluster FROM ({_HITS}) LEFT JOIN segments USING (visitorid)",

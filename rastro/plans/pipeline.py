@@ -15,17 +15,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rastro.operators.aggregate import hit_rate_by_cluster, interactions, user_features
 from rastro.operators.clean import clean_events
-from rastro.operators.evaluate import full_metrics, user_hits
+from rastro.operators.evaluate import metrics_of_places, user_hits
 from rastro.operators.index import index_cells, index_ids
 from rastro.operators.recommend import (
     fit_als,
     popular_for_new,
     popular_items,
-    top_n_unseen,
-    with_ids,
+    rank_index,
 )
 from rastro.operators.segments import segment_users
 from rastro.operators.split import known_in_train, limit_test_users, split_events
+from rastro.operators.topn import RankIndex
 from rastro.operators.transform import transform_events
 from rastro.session import pinned
 from rastro.sources.files import read_events
@@ -53,15 +53,21 @@ def index_train(train: DataFrame) -> IndexedTrain:
     return IndexedTrain(pinned(index_cells(cells, users, items)), users, items)
 
 
+def ranking_of(model: ALSModel, train: IndexedTrain) -> RankIndex:
+    """The model's factors laid out for lists and places; worth keeping for more than one
+    question."""
+    return rank_index(model, train.users, train.items, train.seen)
+
+
 def recommend_all(
-    model: ALSModel, train: IndexedTrain, visitors: DataFrame, n: int = 10, popular: bool = False
+    model: ALSModel | RankIndex, train: IndexedTrain, visitors: DataFrame, n: int = 10, popular: bool = False
 ):
     """(visitorid, rank, itemid, score) for the visitors that occur in train.
 
     With ``popular`` all others get the list of the most popular items.
     """
-    chosen = train.users.join(visitors.select("visitorid"), "visitorid", "left_semi")
-    lists = with_ids(top_n_unseen(model, chosen, train.seen, n), train.users, train.items)
+    index = model if isinstance(model, RankIndex) else ranking_of(model, train)
+    lists = index.lists(visitors, n)
     if not popular:
         return lists
     return lists.unionByName(popular_for_new(visitors, train.users, popular_items(train.cells, n)))
@@ -111,8 +117,10 @@ def run_pipeline(
     iterations: int = 15,
     n_users: int = 1000,
     n: int = 10,
+    evaluate: bool = False,
 ) -> Run:
-    """From raw files to lists for the first ``n_users`` users, written below ``out``."""
+    """From raw files to lists for the first ``n_users`` users, written below ``out``; with
+    ``evaluate`` to the ranking metrics over all test users, too."""
     run = Run()
     with run.stage("ingesta"):
         raw = read_events(spark, *event_paths)
@@ -124,15 +132,21 @@ def run_pipeline(
             segment_users(features, n_clusters), f"{out}/segmentos"
         )
     with run.stage("entrenamiento"):
-        train, _ = split_events(events)
+        train, test = split_events(events)
         indexed = index_train(train)
         model = fit_als(indexed.cells, factors=factors, iterations=iterations)
         model.write().save(f"{out}/modelo")
         run.paths["modelo"] = f"{out}/modelo"
     with run.stage("inferencia"):
         first = limit_test_users(indexed.users.select("visitorid"), n_users)
-        lists = recommend_all(model, indexed, first, n)
+        index = ranking_of(model, indexed)
+        lists = recommend_all(index, indexed, first, n)
         run.paths["recomendaciones"] = write_table(lists, f"{out}/recomendaciones")
+    if evaluate:
+        with run.stage("evaluacion"):
+            places = index.places(known_in_train(test, indexed.cells))
+            run.paths["metricas"] = write_table(metrics_of_places(places, n), f"{out}/metricas")
+    index.close()
     return run
 
 
@@ -149,6 +163,6 @@ def evaluate_by_cluster(
     indexed = index_train(train)
     known = pinned(known_in_train(test, indexed.cells))
     model = fit_als(indexed.cells, factors=factors, iterations=iterations)
-    lists = pinned(recommend_all(model, indexed, known, k))
-    hits = user_hits(known, lists, k)
-    return full_metrics(known, lists, k), hit_rate_by_cluster(hits, segments, k)
+    places = pinned(ranking_of(model, indexed).places(known))
+    hits = user_hits(known, places, k)
+    return metrics_of_places(places, k), hit_rate_by_cluster(hits, segments, k)

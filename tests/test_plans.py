@@ -6,6 +6,7 @@ from rastro.plans import pipeline
 from rastro.plans.adapters import events_log, orders_log
 from rastro.plans.catalog import QUERIES
 from rastro.plans.oracle import ORACLE
+from rastro.session import pinned
 from rastro.sources import sinks
 from rastro.sources.tables import read_table
 
@@ -56,6 +57,26 @@ def test_whole_run(spark, sf_dir, tmp_path):
     assert shares == {"ingesta", "segmentos", "entrenamiento", "inferencia", "TOTAL"}
 
 
+def test_a_run_with_metrics(spark, sf_dir, tmp_path):
+    raw = sinks.write_csv(orders_log(spark, sf_dir), str(tmp_path / "raw"))
+    run = pipeline.run_pipeline(
+        spark, [raw], str(tmp_path / "out"), n_clusters=3, factors=4, iterations=3, n_users=5, evaluate=True
+    )
+    row = read_table(spark, run.paths["metricas"]).first()
+    assert row.usuarios_evaluados > 0 and row["hit_rate@10"] >= row["ndcg@10"] >= row["map@10"]
+    assert list(run.seconds)[-1] == "evaluacion"
+
+
+def test_places_give_the_metrics_of_lists(spark, sf_dir):
+    from rastro.operators import evaluate as ev
+    from rastro.plans.catalog import fitted
+
+    fit = fitted(spark, sf_dir)
+    lists = pinned(fit.fixed_ranking.lists(fit.known, 10))
+    by_lists = ev.full_metrics(fit.known, lists, 10).first()
+    assert by_lists == ev.metrics_of_places(fit.fixed_ranking.places(fit.known), 10).first()
+
+
 def test_ingest_counts_duplicates(spark, sf_dir, tmp_path):
     _, counts = pipeline.ingest(events_log(spark, sf_dir), str(tmp_path / "clean"))
     assert counts["filas_antes"] > counts["filas_despues"] > 0

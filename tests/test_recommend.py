@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rastro.operators import negatives as ng
 from rastro.operators import ranker as rk
 from rastro.operators import recommend as rec
+from rastro.operators import topn
 from rastro.plans import fixed
 
 
@@ -42,10 +43,13 @@ def expected_lists(model, cells, n):
     return lists
 
 
-@pytest.mark.parametrize("heavy_seen", [rec.HEAVY_SEEN, 10])
-def test_lists_equal_brute_force(cells, model, heavy_seen, monkeypatch):
-    monkeypatch.setattr(rec, "HEAVY_CHUNK", 7)
-    lists = rec.top_n_unseen(model, cells.select("u_idx"), cells, 5, heavy_seen).collect()
+@pytest.mark.parametrize("slice_bytes, step, few", [(64 << 20, 4096, 1000), (8 * 4 * 11, 5, 10)])
+def test_lists_equal_brute_force(cells, model, slice_bytes, step, few, monkeypatch):
+    """In one slice, and in slices of 11 items scored five at a time, users joined."""
+    monkeypatch.setattr(topn, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(topn, "STEP_ITEMS", step)
+    monkeypatch.setattr(topn, "FEW", few)
+    lists = rec.top_n_unseen(model, cells.select("u_idx"), cells, 5).collect()
     got = {}
     for r in sorted(lists, key=lambda r: r["rank"]):
         got.setdefault(r.u_idx, []).append(r.i_idx)
@@ -55,6 +59,59 @@ def test_lists_equal_brute_force(cells, model, heavy_seen, monkeypatch):
     assert len(got[0]) == 3  # all that user 0 has left of 48 items
 
 
+@pytest.mark.parametrize("slice_bytes, step", [(64 << 20, 4096), (3 * 8 * 7, 3)])
+def test_places_and_lists_with_ties_equal_brute_force(spark, slice_bytes, step, monkeypatch):
+    monkeypatch.setattr(topn, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(topn, "STEP_ITEMS", step)
+    rng = random.Random(11)
+    users = {u: [float(rng.randrange(-1, 3)) for _ in range(3)] for u in range(25)}
+    items = {i: [float(rng.randrange(-2, 3)) for _ in range(3)] for i in range(60)}
+    users[3] = [0.0, 0.0, 0.0]
+    seen = {(u, i) for u in users for i in items if rng.random() < 0.2} | {(7, i) for i in range(58)}
+    index = topn.RankIndex(
+        spark.createDataFrame([(100 + u, u, v) for u, v in users.items()], "visitorid long, u_idx long, features array<double>"),
+        spark.createDataFrame([(1000 - i, i, v) for i, v in items.items()], "itemid long, i_idx long, features array<double>"),
+        spark.createDataFrame(sorted(seen), "u_idx long, i_idx long"),
+    )
+    order = {
+        u: sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in items.items() if (u, i) not in seen)
+        for u, v in users.items()
+    }
+    asked = spark.createDataFrame([(100 + u,) for u in users] + [(100,), (9999,), (None,)], "visitorid long")
+    expected = [(100 + u, k, 1000 - i, -s) for u in users for k, (s, i) in enumerate(order[u][:4], 1)]
+    assert sorted(map(tuple, index.lists(asked, 4).collect())) == sorted(expected)
+    pairs = [(u, i) for u in users for i in rng.sample(range(60), 3)]
+    places = {u: {i: k for k, (_, i) in enumerate(own, 1)} for u, own in order.items()}
+    test = spark.createDataFrame([(100 + u, 1000 - i) for u, i in pairs] + [(5, 5)], "visitorid long, itemid long")
+    found = {(r.visitorid, r.itemid): r["rank"] for r in index.places(test).collect()}
+    assert found == {(100 + u, 1000 - i): places[u].get(i) for u, i in pairs}
+    assert index.lists(asked.filter("visitorid = 0"), 4).collect() == []
+    index.close()
+
+
+def test_a_scan_stops_behind_the_last_item_that_can_matter():
+    """Ten long vectors, and many short ones that are never scored."""
+    draw = np.random.default_rng(1)
+    vectors = draw.normal(size=(50_000, 8)) * 0.01
+    vectors[:10] = 5 + draw.normal(size=(10, 8))
+    import pyarrow as pa
+
+    table = pa.table({"i_idx": np.arange(50_000), "itemid": np.arange(50_000), "features": list(vectors)})
+    items, steps = topn._Slice(table, False), []
+    lists = topn._Lists(5, *([np.zeros(0, k)] for k in (np.int64, np.int64, np.float64)))
+
+    def visit(low, rows, scores):
+        steps.append(low)
+        lists.visit(items, low, rows, scores)
+
+    user = np.ones((1, 8))
+    topn._scan(items, user, (np.zeros(1, np.int64), np.array([3])), lambda: lists.need, visit)
+    assert steps == [0]
+    scores = vectors @ user[0]
+    scores[3] = -np.inf
+    assert lists.ids[0].tolist() == np.argsort(-scores)[:5].tolist()
+
+
 def test_als_beats_popularity_on_planted_tastes(spark, cells, model):
     rng = random.Random(3)
     seen = {(r.u_idx, r.i_idx) for r in cells.collect()}
