@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -55,6 +57,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+_HELD: dict[Hashable, object] = {}
+
+
+def held(name: Hashable, make: Callable):
+    """What ``make`` gives, once for a worker while its tasks ask for this name alone.
+
+    A worker outlives a stage. When a task asks for another name, what the stage before has left
+    here goes first, and its memory returns to the system.
+    """
+    if name not in _HELD:
+        _HELD.clear()
+        _POWERS.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library keeps it for later use
+            pass
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def _powers(n: int) -> list[np.ndarray]:
     if not _POWERS or len(_POWERS[0]) <= n:
         size = max(n + 1, SLICE + 64)
@@ -192,6 +215,7 @@ __all__ = [
     "ROW",
     "Words",
     "grams",
+    "held",
     "mixed",
     "numbered",
     "pinned",

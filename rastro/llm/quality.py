@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastro.llm.common import text_bytes, with_whole
+from rastro.llm.common import held, text_bytes, with_whole
 from rastro.llm.folds import held_out, sampled
 
 #: Labelled texts of each class that are learned from, chosen by hash, and the bytes of the
@@ -64,19 +64,13 @@ def _compressors(model: Model):
         )
 
 
-_HELD: dict[Model, list] = {}
-
-
 def _sizes(model: Model, data: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Sizes with the dictionary of label 0, of label 1, and of the text itself."""
-    if model not in _HELD:
-        _HELD.clear()
-        _HELD[model] = list(_compressors(model))
-    held = memoryview(np.ascontiguousarray(data))
-    bad, good = _HELD[model]
+    whole = memoryview(np.ascontiguousarray(data))
+    bad, good = held(("compressors", model), lambda: list(_compressors(model)))
     out = np.empty((len(places) - 1, 3))
     for i, (low, high) in enumerate(zip(places[:-1].tolist(), places[1:].tolist())):
-        text = held[low:high]
+        text = whole[low:high]
         out[i] = len(bad.compress(text)), len(good.compress(text)), high - low
     return out
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -21,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from rastro.llm import common
 from rastro.llm.pretokens import SPACE, Cache, pieces, words_of
 
 TABLE = "doc_id long, n_bytes long, n_tokens long, prefix binary"
@@ -184,9 +184,8 @@ class PrefixCounter:
         return text[cut:]
 
 
-@lru_cache(maxsize=2)
 def _counter(path: str) -> PrefixCounter:
-    return PrefixCounter(path)
+    return common.held(("counter", path), lambda: PrefixCounter(path))
 
 
 def prefix_tables(docs: DataFrame, vocabulary: str) -> DataFrame:
