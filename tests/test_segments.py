@@ -40,6 +40,32 @@ def test_kmeans_is_reproducible(planted):
     assert one == sg.fit_centers(prepared.repartition(5), k=4, starts=2)
 
 
+def test_kmeans_is_as_good_as_the_best_of_single_fits(spark):
+    """Three blobs too close to be certain, against Spark's own K-Means, start by start."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = random.Random(5)
+    rows = [(rng.gauss(2 * (i % 3), 1), rng.gauss(2 * (i % 3 == 1), 1)) for i in range(900)]
+    rows += rows[:200]
+    points = spark.createDataFrame(rows, "a double, b double").repartition(3).cache()
+    centers = sg.fit_centers(points, k=5, starts=15, columns=["a", "b"])
+
+    def cost(centers):
+        return sum(min((a - c) ** 2 + (b - d) ** 2 for c, d in centers) for a, b in rows)
+
+    assembled = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(points)
+    singles = [
+        cost([c.tolist() for c in KMeans(k=5, seed=s, maxIter=300).fit(assembled).clusterCenters()]) for s in range(6)
+    ]
+    assert cost(centers) <= 1.005 * min(singles)
+
+
+def test_kmeans_with_fewer_vectors_than_centers(spark):
+    points = spark.createDataFrame([(1.0,), (1.0,), (5.0,)], "a double")
+    assert sg.fit_centers(points, k=4, starts=3, columns=["a"]) == [[1.0], [5.0]]
+
+
 def test_nearest_center_prefers_the_lower_label(spark, as_rows):
     df = spark.createDataFrame([(1, 0.0), (2, 0.9), (3, -5.0)], "id long, a double")
     labelled = sg.assign_nearest(df, [[-1.0], [1.0]], ["a"])
