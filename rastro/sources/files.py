@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +14,10 @@ from rastro.functions.columns import separator_of, spreadsheet_millis
 from rastro.schemas import CATEGORY_TREE, EVENTS, ITEM_PROPERTIES, with_text_timestamp
 
 
+#: Files whose headers are read at a time.
+OPEN_FILES = 16
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when a file, folder or glob matches on whatever file system it names."""
     try:
@@ -36,27 +40,28 @@ def resolve_path(spark: SparkSession, *candidates: str) -> str:
 def first_lines(spark: SparkSession, *paths: str) -> DataFrame:
     """(archivo, linea): the first line of every file that is not empty.
 
-    Tasks leave off after the first rows of their part, so large files are not read.
+    The driver, which lists the files of a source in any case, opens each and reads up to the
+    end of its first line, some files side by side. So what is read of a file is a buffer,
+    whatever its size, and no task passes over the rest of it.
     """
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("archivo"),
-        F.col("_metadata.file_block_start").alias("_start"),
-        "value",
-    )
+    files = spark.read.text(list(paths)).inputFiles()
+    with ThreadPool(max(1, min(OPEN_FILES, len(files)))) as pool:
+        lines = pool.map(lambda file: _first_line(spark, file), files)
+    found = [line for line in lines if line[1] is not None]
+    return spark.createDataFrame(found, "archivo string, linea string")
 
-    def firsts(batches):
-        last = None
-        for batch in batches:
-            names, starts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            new = [k for k, name in enumerate(names) if name != (names[k - 1] if k else last)]
-            picked = [k for k in new if starts[k] == 0]
-            last = names[-1] if names else last
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).take(pa.array(picked, pa.int64())) for c in (0, 2)],
-                names=["archivo", "linea"],
-            )
-
-    return lines.mapInArrow(firsts, "archivo string, linea string")
+
+def _first_line(spark: SparkSession, file: str) -> tuple[str, str | None]:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        plain = stream if codec is None else codec.createInputStream(stream)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8"))
+        return path.toString(), reader.readLine()
+    finally:
+        stream.close()
 
 
 def detect_separator(spark: SparkSession, path: str) -> str:

@@ -64,3 +64,37 @@ def test_first_lines_of_files_of_many_parts(spark, tmp_path):
     session.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     lines = files.first_lines(session, str(path)).collect()
     assert [r.linea for r in lines] == ["a;b;c"]
+
+
+def test_what_is_read_of_a_file_does_not_grow_with_it(spark, tmp_path):
+    """Bytes that this process reads from files for the header of a small and of a large one."""
+    jvm = spark._jvm
+
+    def bytes_read(name, rows):
+        path = tmp_path / name
+        path.write_text("a;b;c\n" + "1,2,3 and some more text\n" * rows)
+        scheme = jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+        before = scheme.getLong("bytesRead") or 0
+        assert [r.linea for r in files.first_lines(spark, str(path)).collect()] == ["a;b;c"]
+        return scheme.getLong("bytesRead") - before
+
+    small, large = bytes_read("small.csv", 1_000), bytes_read("large.csv", 1_000_000)
+    assert small > 0
+    assert large < 200_000 < (tmp_path / "large.csv").stat().st_size // 100
+
+
+def test_compressed_files_and_odd_names(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "a b%20c.csv").write_text("x;y\n1;2\n")
+    (tmp_path / "z.csv.gz").write_bytes(gzip.compress(b"x;y\n3;4\n"))
+    lines = files.first_lines(spark, str(tmp_path)).collect()
+    assert sorted(r.linea for r in lines) == ["x;y", "x;y"]
+    assert spark.read.text([r.archivo for r in lines]).count() == 4
+
+
+def test_a_folder_of_large_and_small_files(spark, tmp_path):
+    for k in range(12):
+        (tmp_path / f"{k}.csv").write_text(f"a,b{k}\n" + "1,2\n" * (10 ** (k % 6)))
+    lines = {r.linea for r in files.first_lines(spark, str(tmp_path)).collect()}
+    assert lines == {f"a,b{k}" for k in range(12)}
