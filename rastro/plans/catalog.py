@@ -15,6 +15,7 @@ from rastro.operators import clean as cl
 from rastro.operators import evaluate as ev
 from rastro.operators import index as ix
 from rastro.operators import negatives as ng
+from rastro.operators import neighbours as nb
 from rastro.operators import neural as nn
 from rastro.operators import perf
 from rastro.operators import recommend as rec
@@ -492,12 +493,12 @@ def seg_relabel(spark, sf):
 
 @query("seg_project_2d")
 def seg_project_2d(spark, sf):
-    return sg.project_2d(pinned(segments_of(spark, sf)))
+    return fitted(spark, sf).plane
 
 
 @query("seg_dispersion")
 def seg_dispersion(spark, sf):
-    return sg.dispersion(pinned(seg_project_2d(spark, sf)))
+    return sg.dispersion(seg_project_2d(spark, sf))
 
 
 @query("seg_size_sweep")
@@ -585,6 +586,11 @@ class Fitted:
         joined = self.known.join(users, "visitorid").join(items, "itemid")
         return pinned(joined.select("u_idx", "i_idx"))
 
+    @cached_property
+    def plane(self):
+        """All users in the plane."""
+        return pinned(nb.neighbour_map(pinned(segments_of(self.spark, self.sf))))
+
     @cached_property
     def eval_negatives(self):
         return pinned(
