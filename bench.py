@@ -14,6 +14,7 @@ import time
 
 from rastro.operators import aggregate as ag
 from rastro.operators import evaluate as ev
+from rastro.operators import implicit as im
 from rastro.operators import neural as nn
 from rastro.operators import recommend as rec
 from rastro.operators import segments as sg
@@ -87,6 +88,8 @@ def main() -> None:
     train = pinned(train)
     indexed = measure("index_and_matrix", lambda: index_train(train))
     model = measure("als_fit_64_factors_15_iterations", lambda: rec.fit_als(indexed.cells), 1, True)
+    n_users, n_items = indexed.users.count(), indexed.items.count()
+    measure("als_plain_objective_15_iterations", lambda: im.fit_implicit(indexed.cells, n_users, n_items), 1, False)
     known = pinned(sp.known_in_train(test, indexed.cells))
     index = measure("ranking_layout", lambda: ranking_of(model, indexed), 1)
     for n_users in (1, 1000, 10_000):
@@ -103,7 +106,6 @@ def main() -> None:
     fit.positives, fit.test_pairs  # noqa: B018 - inputs, not timed
     measure("rec_neg_train", lambda: drain(fit.training_pairs()), 1)
 
-    n_users, n_items = fit.indexed.users.count(), fit.indexed.items.count()
     measure("ranker_fit_10_epochs", lambda: nn.fit_neural(fit.positives, n_users, n_items), 1, False)
     measure(
         "whole_run",

@@ -13,6 +13,7 @@ from rastro.functions import columns as fn
 from rastro.operators import aggregate as ag
 from rastro.operators import clean as cl
 from rastro.operators import evaluate as ev
+from rastro.operators import implicit as im
 from rastro.operators import index as ix
 from rastro.operators import negatives as ng
 from rastro.operators import neighbours as nb
@@ -586,6 +587,12 @@ class Fitted:
         joined = self.known.join(users, "visitorid").join(items, "itemid")
         return pinned(joined.select("u_idx", "i_idx"))
 
+    @cached_property
+    def plain_als(self):
+        """Factors under the plain objective."""
+        cells = self.indexed.cells
+        return im.fit_implicit(cells, self.indexed.users.count(), self.indexed.items.count(), FACTORS)
+
     @cached_property
     def plane(self):
         """All users in the plane."""
@@ -758,6 +765,25 @@ def rec_als_fit(spark, sf):
     return users.unionByName(model.itemFactors.withColumn("tipo", F.lit("producto")))
 
 
+@query("rec_als_plain_fit")
+def rec_als_plain_fit(spark, sf):
+    """Factors with the weight as confidence and one regularisation for all rows."""
+    model = fitted(spark, sf).plain_als
+    users = model.userFactors.withColumn("tipo", F.lit("usuario"))
+    return users.unionByName(model.itemFactors.withColumn("tipo", F.lit("producto")))
+
+
+@query("rec_als_plain_holds")
+def rec_als_plain_holds(spark, sf):
+    """Items, and those whose normal equations are off by more than a ten-thousandth."""
+    fit = fitted(spark, sf)
+    model = fit.plain_als
+    rest = im.normal_equations(fit.indexed.cells, model.itemFactors, model.userFactors, "i_idx", "u_idx")
+    return rest.agg(
+        F.count(F.lit(1)).alias("productos"), F.count_if(~(F.col("residuo") < 1e-4)).alias("malos")
+    )
+
+
 @query("rec_topn_user")
 def rec_topn_user(spark, sf):
     """The list of one user: the one with the lowest id."""

@@ -491,6 +491,7 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'producto', count(*), count(*), 0 FROM items"""
     ),
     "rec_neural_loss_holds": f"SELECT {EPOCHS}::BIGINT AS epocas, 0::BIGINT AS malas, true AS baja",
+    "rec_als_plain_holds": _on_train("SELECT count(*) AS productos, 0::BIGINT AS malos FROM items"),
     "rec_neural_holds": _on_train("SELECT count(*) AS pares, 0::BIGINT AS fuera FROM pairs"),
     "seg_kmeans_holds": _on_orders("SELECT count(*) AS usuarios, 0::BIGINT AS lejos FROM features", _FEATURES_CTE),
     "seg_relabel_holds": _on_orders(
