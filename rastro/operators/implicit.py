@@ -135,7 +135,7 @@ def _gram(state: DataFrame, factors: int) -> np.ndarray:
     def square(batches):
         total = np.zeros((factors, factors))
         for batch in batches:
-            column = batch.column(3)
+            column = batch.column(batch.num_columns - 1)
             if pa.types.is_list(column.type):
                 parts = [column.flatten().to_numpy()]
             else:
@@ -256,7 +256,7 @@ def normal_equations(
     """(id, residuo): for each row of ``own`` (id, features) the largest entry of A·x − b, against
     that of b; from the cells and factors alone, by joins."""
     width = other.agg(F.max(F.size("features"))).first()[0] or 0
-    gram = _gram(other.select(F.lit(0), F.lit("f"), F.lit(0), "features"), width)
+    gram = _gram(other.select("features"), width)
     entry = lambda j: F.col("_y")[j].cast("double")
     mine = own.select(F.col("id").alias(own_key), F.col("features").alias("_x"))
     theirs = other.select(F.col("id").alias(other_key), F.col("features").alias("_y"))
