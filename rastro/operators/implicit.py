@@ -21,9 +21,12 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rastro.functions.columns import dot
 from rastro.session import new_folder, pinned, remove_folder
 
 BLOCK_ROWS, BLOCK_CELLS, LEAST_BLOCKS = 100_000, 2_000_000, 8
@@ -257,23 +260,21 @@ def normal_equations(
     that of b; from the cells and factors alone, by joins."""
     width = other.agg(F.max(F.size("features"))).first()[0] or 0
     gram = _gram(other.select("features"), width)
-    entry = lambda j: F.col("_y")[j].cast("double")
     mine = own.select(F.col("id").alias(own_key), F.col("features").alias("_x"))
     theirs = other.select(F.col("id").alias(other_key), F.col("features").alias("_y"))
     met = cells.select(own_key, other_key, F.col("peso").cast("double")).join(theirs, other_key).join(mine, own_key)
-    score = sum(F.col("_x")[j].cast("double") * entry(j) for j in range(width))
-    pull = F.col("peso") - (F.col("peso") - 1) * score
-    sums = met.groupBy(own_key).agg(
-        F.array(*[F.sum(pull * entry(j)) for j in range(width)]).alias("_r"),
-        F.array(*[F.sum(F.col("peso") * entry(j)) for j in range(width)]).alias("_b"),
-    )
+    pull = F.col("peso") - (F.col("peso") - 1) * dot(F.col("_x"), F.col("_y"))
+    both = F.concat(*(F.transform("_y", lambda y, f=f: y.cast("double") * f) for f in (F.col("_p"), F.col("peso"))))
+    vectors = met.withColumn("_p", pull).select(own_key, array_to_vector(both).alias("_v"))
+    sums = vectors.groupBy(own_key).agg(Summarizer.sum(F.col("_v")).alias("_v"))
 
     def residuals(batches):
         inner = gram + regularization * np.eye(width)
         for batch in batches:
-            x, r, b = (batch.column(c).flatten().to_numpy().astype(float).reshape(-1, width) for c in (1, 2, 3))
+            x = batch.column(1).flatten().to_numpy().astype(float).reshape(-1, width)
+            r, b = np.split(batch.column(2).flatten().to_numpy().reshape(-1, 2 * width), 2, axis=1)
             rest = np.abs(r - x @ inner).max(axis=1) / np.maximum(np.abs(b).max(axis=1), 1e-300)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rest)], names=["id", "residuo"])
 
-    joined = sums.join(mine, own_key).select(own_key, "_x", "_r", "_b")
+    joined = sums.join(mine, own_key).select(own_key, "_x", vector_to_array("_v"))
     return joined.mapInArrow(residuals, "id long, residuo double")
