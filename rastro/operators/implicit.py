@@ -264,7 +264,10 @@ def normal_equations(
     theirs = other.select(F.col("id").alias(other_key), F.col("features").alias("_y"))
     met = cells.select(own_key, other_key, F.col("peso").cast("double")).join(theirs, other_key).join(mine, own_key)
     pull = F.col("peso") - (F.col("peso") - 1) * dot(F.col("_x"), F.col("_y"))
-    both = F.concat(*(F.transform("_y", lambda y, f=f: y.cast("double") * f) for f in (F.col("_p"), F.col("peso"))))
+    both = F.concat(
+        F.transform("_y", lambda y: y.cast("double") * F.col("_p")),
+        F.transform("_y", lambda y: y.cast("double") * F.col("peso")),
+    )
     vectors = met.withColumn("_p", pull).select(own_key, array_to_vector(both).alias("_v"))
     sums = vectors.groupBy(own_key).agg(Summarizer.sum(F.col("_v")).alias("_v"))
 
