@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from rastro.functions import columns as fn
 from rastro.operators import aggregate as ag
 from rastro.operators import clean as cl
+from rastro.operators import dictionary as dc
 from rastro.operators import evaluate as ev
 from rastro.operators import implicit as im
 from rastro.operators import index as ix
@@ -21,6 +22,7 @@ from rastro.operators import neural as nn
 from rastro.operators import perf
 from rastro.operators import recommend as rec
 from rastro.operators import segments as sg
+from rastro.operators import sketches as sk
 from rastro.operators import split as sp
 from rastro.operators import transform as tr
 from rastro.operators.topn import RankIndex
@@ -30,6 +32,7 @@ from rastro.plans.pipeline import index_train, ranking_of, recommend_all
 from rastro.schemas import CLUSTER_NAMES, EVENTS, FEATURE_COLUMNS
 from rastro.session import new_folder, pinned
 from rastro.sources import files, sinks, tables
+from rastro.sources import user_log as ul
 from rastro.streaming import events as st
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -338,6 +341,28 @@ def agg_kpis(spark, sf):
     return ag.kpis(events, fixed.fixed_segments(pinned(ag.user_features(events))))
 
 
+@query("agg_kpis_days")
+def agg_kpis_days(spark, sf):
+    """Each month's figures from the days' sketches, kept in two loads, against exact counts."""
+    events = pinned(orders_of(spark, sf))
+    kept, late = (sk.daily_sketches(events.filter(F.col("itemid") % 2 == i)) for i in (0, 1))
+    days = sk.merge_days(pinned(kept), pinned(late))
+    month = F.date_format("dia", "yyyy-MM")
+    exact = events.groupBy(F.date_format("fecha", "yyyy-MM").alias("periodo")).agg(
+        F.count_distinct("visitorid").alias("u"), F.count_distinct("itemid").alias("p")
+    )
+
+    def near(estimate, truth):
+        return F.abs(F.col(estimate) - F.col(truth)) <= sk.ERROR_BOUND * F.col(truth)
+
+    return sk.kpis_of_days(days, month).join(exact, "periodo").select(
+        "periodo",
+        "eventos_totales",
+        near("usuarios_unicos", "u").alias("usuarios_dentro"),
+        near("productos_distintos", "p").alias("productos_dentro"),
+    )
+
+
 @query("agg_cluster_size")
 def agg_cluster_size(spark, sf):
     return ag.cluster_sizes(segments_of(spark, sf))
@@ -391,6 +416,41 @@ def index_ids(spark, sf):
     return ix.index_ids(clean_log(spark, sf), "visitorid", "u_idx")
 
 
+@query("index_dictionary")
+def index_dictionary(spark, sf):
+    """Users of the first half of the log's time, then those of the second."""
+    log = pinned(clean_log(spark, sf))
+    middle = log.agg(F.floor((F.min("timestamp") + F.max("timestamp")) / 2)).scalar()
+    path = new_folder(spark, "dictionary")
+    dc.extend_dictionary(log.filter(F.col("timestamp") <= middle), path, "a", "visitorid", "u_idx")
+    return dc.extend_dictionary(log.filter(F.col("timestamp") > middle), path, "b", "visitorid", "u_idx")
+
+
+def user_log_of(spark, sf):
+    buckets = max(8, spark.sparkContext.defaultParallelism)
+    return ul.write_user_log(orders_of(spark, sf), new_folder(spark, "user-log"), buckets)
+
+
+@query("user_log_features")
+def user_log_features(spark, sf):
+    return user_log_of(spark, sf).by_user(ag.user_features)
+
+
+@query("user_log_evaluable")
+def user_log_evaluable(spark, sf):
+    return user_log_of(spark, sf).by_user(sp.events_of_active_users)
+
+
+@query("user_log_split_test")
+def user_log_split_test(spark, sf):
+    return user_log_of(spark, sf).split()[1]
+
+
+@query("user_log_split_train")
+def user_log_split_train(spark, sf):
+    return user_log_of(spark, sf).split()[0]
+
+
 @query("join_id_index")
 def join_id_index(spark, sf):
     return ix.index_cells(pinned(ag.interactions(orders_of(spark, sf))))

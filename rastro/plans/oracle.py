@@ -424,6 +424,10 @@ ORACLE: dict[str, str] = {
         (SELECT count(DISTINCT cluster) FROM segments) AS clusters""",
         _segments_cte(),
     ),
+    "agg_kpis_days": _on_orders(
+        """SELECT strftime(fecha, '%Y-%m') AS periodo, count(*) AS eventos_totales,
+        true AS usuarios_dentro, true AS productos_dentro FROM tr GROUP BY periodo"""
+    ),
     "agg_cluster_size": _on_orders(
         "SELECT cluster, count(*) AS usuarios FROM segments GROUP BY cluster", _segments_cte()
     ),
@@ -448,6 +452,19 @@ ORACLE: dict[str, str] = {
         """SELECT visitorid, row_number() OVER (ORDER BY visitorid) - 1 AS u_idx
         FROM (SELECT DISTINCT visitorid FROM clean)"""
     ),
+    "index_dictionary": _on_events(
+        """SELECT visitorid, row_number() OVER (ORDER BY carga, visitorid) - 1 AS u_idx, carga
+        FROM (SELECT visitorid, CASE WHEN min("timestamp") <= (SELECT (min("timestamp")
+            + max("timestamp")) // 2 FROM clean) THEN 'a' ELSE 'b' END AS carga
+          FROM clean GROUP BY visitorid)"""
+    ),
+    "user_log_features": _on_orders(_FEATURES),
+    "user_log_evaluable": _on_orders(
+        """SELECT * FROM tr WHERE visitorid IN
+        (SELECT visitorid FROM tr GROUP BY visitorid HAVING count(*) >= 2)"""
+    ),
+    "user_log_split_test": _on_orders("SELECT * FROM test", SPLIT),
+    "user_log_split_train": _on_orders("SELECT * FROM train", SPLIT),
     "join_id_index": _on_orders(
         """SELECT visitorid, itemid, CAST(sum(peso_implicito) AS BIGINT) AS peso,
         dense_rank() OVER (ORDER BY visitorid) - 1 AS u_idx,

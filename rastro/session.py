@@ -66,6 +66,12 @@ def remove_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    """Whether something was written there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh path below the application's own part of the shared folder."""
     application = spark.sparkContext.applicationId
