@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import hashlib
 import os
 from collections.abc import Callable, Hashable, Iterator
 from pathlib import Path
@@ -23,9 +24,13 @@ BROADCAST_KEYS = 1_000_000
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TEXTS_PER_BATCH = 1000
 
-#: The column of row numbers.
+#: The column of row numbers; longer where a table has one of that name.
 ROW = "_row_number"
 
+#: Longer words are hashed by their bytes: sums of powers modulo 2^64 can agree by the pattern of
+#: two words, whatever the base, from 1,024 bytes on.
+LONG_WORD = 64
+
 #: Texts are worked on in slices of about so many bytes.
 SLICE = 1 << 20
 
@@ -121,7 +126,11 @@ class Words:
             up, down = _powers(high - low)
             sums = np.zeros(high - low + 1, np.uint64)
             np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * up[: high - low], out=sums[1:])
-            hashes.append(mixed((sums[last] - sums[first]) * down[first]))
+            own = mixed((sums[last] - sums[first]) * down[first])
+            for i in np.flatnonzero(last - first > LONG_WORD).tolist():
+                digest = hashlib.blake2b(piece[first[i] : last[i]], digest_size=8).digest()
+                own[i] = int.from_bytes(digest, "little")
+            hashes.append(own)
             starts.append(first + low)
             ends.append(last + low)
             low = high
@@ -157,17 +166,21 @@ def with_keys(df: DataFrame, keys: DataFrame, name: str, rows: int) -> DataFrame
     return df.join(F.broadcast(keys) if rows <= BROADCAST_KEYS else keys, name, "left_semi")
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The rows with a number each, written once, so that a verdict names one row."""
-    return pinned(docs.withColumn(ROW, F.monotonically_increasing_id()))
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number each, written once, so that a verdict names one row; and the name
+    of the number's column, which no other column has."""
+    name, taken = ROW, {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return pinned(docs.withColumn(name, F.monotonically_increasing_id())), name
 
 
-def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """Of numbered rows those whose number is not in ``gone``, the number dropped."""
+def without(rows: DataFrame, name: str, gone: DataFrame) -> DataFrame:
+    """Of rows numbered by ``name`` those whose number is not in ``gone``, the number dropped."""
     keys = pinned(gone.select(F.col(ROW).alias("_gone_row")))
     small = keys.count() <= BROADCAST_KEYS
-    kept = rows.join(F.broadcast(keys) if small else keys, rows[ROW] == keys["_gone_row"], "left_anti")
-    return kept.drop(ROW)
+    kept = rows.join(F.broadcast(keys) if small else keys, rows[name] == keys["_gone_row"], "left_anti")
+    return kept.drop(name)
 
 
 def with_whole(result: str, given: DataFrame) -> StructType:

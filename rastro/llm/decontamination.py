@@ -241,7 +241,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, one_in: int = 20) -> Da
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, one_in: int = 20) -> DataFrame:
-    """The rows that are not contaminated, each judged by its own text, all their columns kept."""
-    rows = numbered(docs)
-    found = contamination(rows.select(F.col(ROW).alias("doc_id"), "text"), benchmark, one_in)
-    return without(rows, found.filter("contaminated").select(F.col("doc_id").alias(ROW)))
+    """The rows that are not contaminated, each judged by its own text, all their columns kept,
+    whatever their names. Long texts are judged whole, equal rows alike; null texts stay."""
+    rows, number = numbered(docs)
+    found = contamination(rows.select(F.col(number).alias("doc_id"), "text"), benchmark, one_in)
+    return without(rows, number, found.filter("contaminated").select(F.col("doc_id").alias(ROW)))

@@ -10,6 +10,7 @@ through elements that are never content (menus, footers, forms, scripts …) hav
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 from typing import NamedTuple
 
@@ -76,26 +77,48 @@ PUNCTUATION = ".,;:!?。，、؟…"
 
 
 class Block(NamedTuple):
-    path: str
-    #: The open elements by number, the root first.
-    within: tuple[int, ...]
+    #: Its path by number, and the innermost open element that makes paths, see Tree.
+    path: int
+    element: int
     never: bool
     text: str
 
 
+class Tree:
+    """The elements that make paths, by number in page order; each knows the one around it and
+    its path, so that deep pages cost what they have of elements. Number 0 stands for the page."""
+
+    def __init__(self) -> None:
+        self.parents, self.names, self.paths = [0], [""], [0]
+        self._known: dict[tuple[int, str], int] = {}
+
+    def add(self, parent: int, name: str) -> int:
+        self.parents.append(parent)
+        self.names.append(name)
+        self.paths.append(self._known.setdefault((self.paths[parent], name), len(self._known) + 1))
+        return len(self.parents) - 1
+
+
+def summed_upwards(parents: list[int], own: dict[int, int]) -> list[int]:
+    """For each number its own value and those of all below it; parents come before children."""
+    total = [own.get(i, 0) for i in range(len(parents))]
+    for i in range(len(parents) - 1, 0, -1):
+        total[parents[i]] += total[i]
+    return total
+
+
 class _Open(NamedTuple):
     name: str
-    #: What a block here has: see Block.
-    path: str
-    within: tuple[int, ...]
+    #: The innermost element that makes paths.
+    element: int
     never: bool
-    #: Numbers of the open elements whose class, id or role is marked.
-    marks: tuple[int, ...]
+    #: Number of the innermost open element whose class, id or role is marked.
+    mark: int
     #: Whether the element itself is marked.
     own: bool
 
 
-_ROOT = _Open("", "", (), False, (), False)
+_ROOT = _Open("", 0, False, 0, False)
 
 
 def _never(name: str, attributes: str) -> tuple[bool, bool]:
@@ -121,13 +144,15 @@ def _never(name: str, attributes: str) -> tuple[bool, bool]:
     return False, False
 
 
-def blocks_of(html: str) -> list[Block]:
+def blocks_of(html: str) -> tuple[list[Block], Tree]:
     """The text blocks of a page in their order, white space inside them made one space."""
     blocks: list[Block] = []
-    marks: list[tuple[int, ...]] = []
+    tree = Tree()
+    #: The mark around each mark, and that of each block.
+    around, marks = [0], []
+    opened: Counter[str] = Counter()
     stack: list[_Open] = [_ROOT]
     held: list[str] = []
-    numbers = marked = 0
 
     def end_block() -> None:
         if held:
@@ -136,8 +161,12 @@ def blocks_of(html: str) -> list[Block]:
             held.clear()
             if text:
                 top = stack[-1]
-                blocks.append(Block(top.path, top.within, top.never, text))
-                marks.append(top.marks)
+                blocks.append(Block(tree.paths[top.element], top.element, top.never, text))
+                marks.append(top.mark)
+
+    def close(at: int) -> None:
+        opened.subtract(x.name for x in stack[at:])
+        del stack[at:]
 
     low, n = 0, len(html)
     while low < n:
@@ -152,14 +181,14 @@ def blocks_of(html: str) -> list[Block]:
             continue
         name = tag[2].lower()
         if tag[1]:
-            at = len(stack) - 1
+            at = len(stack) - 1 if opened[name] > 0 else 0
             while at and stack[at].name != name:
                 at -= 1
             # An inline element that was marked ends its own text.
             if name in BLOCKS or stack[at].own:
                 end_block()
             if at:
-                del stack[at:]
+                close(at)
             continue
         if name == "br":
             held.append(" ")
@@ -182,33 +211,34 @@ def blocks_of(html: str) -> list[Block]:
                 if name in ENDS.get(open_name, ()):
                     scope = SCOPES.get(open_name, ())
                     if not scope or not any(x.name in scope for x in stack[i + 1 :]):
-                        del stack[i:]
+                        close(i)
                 elif open_name in BLOCKS and open_name not in ENDS:
                     break
-            numbers += 1
-        marked += own
         top = stack[-1]
-        path, within = top.path, top.within
-        if name in BLOCKS:
-            path, within = f"{path}/{name}", (*within, numbers)
-        under = (*top.marks, marked) if own else top.marks
-        stack.append(_Open(name, path, within, top.never or never, under, never or own))
+        element = tree.add(top.element, name) if name in BLOCKS else top.element
+        mark = top.mark
+        if own:
+            around.append(mark)
+            mark = len(around) - 1
+        stack.append(_Open(name, element, top.never or never, mark, never or own))
+        opened[name] += 1
     end_block()
-    return _without_marked(blocks, marks)
+    return _without_marked(blocks, marks, around), tree
 
 
-def _without_marked(blocks: list[Block], marks: list[tuple[int, ...]]) -> list[Block]:
+def _without_marked(blocks: list[Block], marks: list[int], around: list[int]) -> list[Block]:
     """The blocks, those under a mark never content, unless most of the page's text is there."""
-    held: dict[int, int] = {}
-    total = 0
-    for b, under in zip(blocks, marks):
+    own: Counter[int] = Counter()
+    for b, mark in zip(blocks, marks):
         if not b.never:
-            total += len(b.text)
-            for number in under:
-                held[number] = held.get(number, 0) + len(b.text)
+            own[mark] += len(b.text)
+    held = summed_upwards(around, own)
+    total = held[0]
     # If a page has no other text, there is nothing to tell it from a mere notice.
-    counts = {number for number, n in held.items() if n < MOST * total or n == total}
-    return [b._replace(never=b.never or any(x in counts for x in under)) for b, under in zip(blocks, marks)]
+    counts = [False]
+    for i in range(1, len(around)):
+        counts.append(counts[around[i]] or 0 < held[i] < MOST * total or held[i] == total > 0)
+    return [b._replace(never=b.never or counts[mark]) for b, mark in zip(blocks, marks)]
 
 
 _NEAR = np.exp(-0.5 * np.arange(-3, 4) ** 2.0)
@@ -219,7 +249,7 @@ def _smoothed(values: np.ndarray, there: np.ndarray) -> np.ndarray:
     return np.convolve(values, _NEAR)[3:-3] / there
 
 
-def content(blocks: list[Block], threshold: float = 0.5) -> list[Block]:
+def content(blocks: list[Block], tree: Tree, threshold: float = 0.5) -> list[Block]:
     """Blocks of paths whose fused ratio reaches ``threshold`` deviations of all, and what stands
     with them in one element."""
     usable = [b for b in blocks if not b.never]
@@ -242,28 +272,26 @@ def content(blocks: list[Block], threshold: float = 0.5) -> list[Block]:
     fused = text_ratio * (1 + mark_ratio) / 2
     least = min(threshold * fused[which].std(), fused.max())
     # The element that holds most of the kept text holds the rest of it, too.
-    held: dict[int, float] = {}
-    depth: dict[int, int] = {}
-    names: dict[int, str] = {}
     kept = [b for b, i in zip(blocks, which) if not b.never and fused[i] >= least and fused[i] > 0]
     total = sum(len(b.text) for b in kept)
+    own: Counter[int] = Counter()
     for b in kept:
-        path = b.path.split("/")[1:]
-        for d, number in enumerate(b.within[:-1] or b.within):
-            held[number] = held.get(number, 0) + len(b.text)
-            depth[number], names[number] = d, path[d]
-    holders = [x for x in held if held[x] >= 0.9 * total]
-    if not holders:
-        return kept
-    holder = max(holders, key=lambda x: depth[x])
+        # An element holds what is in others below it, or stands right on the page.
+        own[tree.parents[b.element] or b.element] += len(b.text)
+    held = summed_upwards(tree.parents, own)
+    # No two elements side by side have so much, so the last one is the innermost.
+    holder = max((i for i in range(1, len(held)) if held[i] >= 0.9 * total), default=0)
     # The body and what is above it hold the page, not the article alone.
-    if names[holder] in ("html", "body"):
+    if not holder or tree.names[holder] in ("html", "body"):
         return kept
-    return [b for b in usable if holder in b.within]
+    inside = [False] * len(held)
+    for i in range(holder, len(held)):
+        inside[i] = i == holder or inside[tree.parents[i]]
+    return [b for b in usable if inside[b.element]]
 
 
 def main_text(html: str | None) -> str:
-    return "\n".join(b.text for b in content(blocks_of(html or "")))
+    return "\n".join(b.text for b in content(*blocks_of(html or "")))
 
 
 def extract(df: DataFrame, html: str = "html", key: str = "page_id", keep: tuple[str, ...] = ("url",)) -> DataFrame:

@@ -22,16 +22,20 @@ from rastro.llm.folds import held_out, sampled
 WIDTH, LENGTHS, CENTROIDS = 4096, (1, 2, 3), 4
 #: Vectors of each language that are clustered, chosen by hash: clusters are made on the driver.
 SAMPLE_ROWS = 400
-#: Rejected is what has less than this part of the least cosine that learned texts of the
-#: language have with their centroid.
-REJECTION = 0.4
-#: Fewer letters than this are no ground for a rejection.
-FEW_BYTES = 200
+#: Rejected is what has less than this part of the cosine that all but a hundredth of the learned
+#: texts of the language, and of pieces of them, have with their centroid at about that length.
+REJECTION, QUANTILE = 0.4, 0.01
+#: Bytes at which the bound changes. Pieces of the sampled texts stand for the short lengths.
+LENGTH_STEPS = (25, 50, 100, 200)
 
 PARTS, PART = 3, 1
 UNKNOWN = "und"
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
 
+SAMPLE = pa.schema(
+    [("doc_id", pa.int64()), ("piece", pa.int32()), ("lang", pa.string()), ("at", pa.binary()), ("v", pa.binary())]
+)
+
 _LETTER = re.compile(r"[^\W\d_]")
 # ASCII letters in lower case, other ASCII as space, the rest as it is.
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -74,14 +78,34 @@ class Model:
     weights: np.ndarray
     languages: list[str]  # of each centroid
     centroids: np.ndarray
-    least: np.ndarray  # the cosine below which a centroid rejects
+    least: np.ndarray  # for each step of length, the cosine below which a centroid rejects
 
     def judge(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The nearest centroid, its cosine, and whether it is too far."""
         cosines = _normal(vectors * self.weights) @ self.centroids.T
         best = cosines.argmax(1)
         cosine = cosines[np.arange(len(best)), best]
-        return best, np.clip(cosine, 0, 1), cosine < self.least[best]
+        return best, np.clip(cosine, 0, 1), cosine < self.least[length_steps(vectors), best]
+
+
+def length_steps(vectors: np.ndarray) -> np.ndarray:
+    """The step of each text's length: a byte begins about one n-gram of each length, and counts
+    are kept as roots."""
+    size = np.square(vectors, dtype=np.float32).sum(1) / len(LENGTHS)
+    return np.searchsorted(LENGTH_STEPS, size, side="right")
+
+
+def pieces_of(text: bytes) -> list[bytes]:
+    """The text, and from its middle one piece for each step that it is longer than."""
+    middle = len(text) // 2
+    whole = [text]
+    for low, high in zip((0, *LENGTH_STEPS), LENGTH_STEPS):
+        size = (low + high) // 2
+        if size < len(text):
+            # A piece begins and ends with whole characters.
+            piece = text[middle - size // 2 :][:size].decode(errors="ignore")
+            whole.append(piece.encode())
+    return whole
 
 
 def clustered(vectors: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray, np.ndarray]:
@@ -127,41 +151,61 @@ def learned(docs: DataFrame) -> Model | None:
     seen = np.array([found[i] for i in range(WIDTH)], float)
     weights = np.log((1 + found[-1]) / (1 + seen)).astype(np.float32) + np.float32(0.01)
 
-    keys = sampled(known.select("doc_id", "lang"), "lang", "doc_id", SAMPLE_ROWS)
-    # A fixed number of rows for each language.
-    chosen = docs.select("doc_id", "text").join(F.broadcast(keys), "doc_id")
+    keys = sampled(known.select("doc_id", "lang").distinct(), "lang", "doc_id", SAMPLE_ROWS)
+    # A fixed number of rows for each language: of an id's texts the least, however many it has.
+    chosen = known.join(F.broadcast(keys), ["doc_id", "lang"]).groupBy("doc_id", "lang")
+    chosen = chosen.agg(F.min("text").alias("text")).select("doc_id", "text", "lang")
 
     def vectors_of(batches):
-        for batch, low, high, vectors in _vectors(batches, 1):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(low, high - low),
-                    batch.column(2).slice(low, high - low),
-                    pa.array([v.astype(np.float16).tobytes() for v in vectors], pa.binary()),
-                ],
-                names=["doc_id", "lang", "v"],
-            )
-
-    rows = chosen.mapInArrow(vectors_of, "doc_id long, lang string, v binary").toArrow().sort_by("doc_id")
-    sample = np.array([np.frombuffer(v, np.float16) for v in rows.column("v").to_pylist()], np.float32)
-    sample = sample.reshape(-1, WIDTH)
+        for batch in batches:
+            for key, text, lang in zip(*(c.to_pylist() for c in batch.columns)):
+                # The whole text and its pieces, as sparse as they are.
+                for piece, part in enumerate(pieces_of(text.encode())):
+                    vector = counts(np.frombuffer(part, np.uint8), np.array([0, len(part)]))[0]
+                    at = np.flatnonzero(vector).astype(np.int16)
+                    yield pa.RecordBatch.from_pylist(
+                        [
+                            {
+                                "doc_id": key,
+                                "piece": piece,
+                                "lang": lang,
+                                "at": at.tobytes(),
+                                "v": vector[at].astype(np.float16).tobytes(),
+                            }
+                        ],
+                        schema=SAMPLE,
+                    )
+
+    rows = chosen.mapInArrow(vectors_of, "doc_id long, piece int, lang string, at binary, v binary").toArrow()
+    rows = rows.sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("piece", "ascending")])
     langs = np.array(rows.column("lang").to_pylist(), dtype=object)
-    there = sample.any(1)
-    sample, langs = sample[there], langs[there]
-    # Each byte begins about one n-gram of each length, and counts are kept as roots.
-    enough = np.square(sample).sum(1) >= FEW_BYTES * len(LENGTHS)
-    sample = _normal(sample * weights)
+    whole = np.array(rows.column("piece").to_pylist(), int) == 0
     names, centroids, least = [], [], []
     for lang in sorted(set(langs)):
-        mine = sample[langs == lang]
-        centres, of = clustered(mine, CENTROIDS)
-        near = (mine[enough[langs == lang]] @ centres.T).max(1)
+        mine = np.flatnonzero(langs == lang)
+        sample = np.zeros((len(mine), WIDTH), np.float32)
+        for vector, i in zip(sample, mine.tolist()):
+            vector[np.frombuffer(rows.column("at")[i].as_py(), np.int16)] = np.frombuffer(
+                rows.column("v")[i].as_py(), np.float16
+            )
+        there = sample.any(1)
+        sample, steps, own = sample[there], length_steps(sample[there]), whole[mine][there]
+        if not own.any():
+            continue
+        sample = _normal(sample * weights)
+        centres, _ = clustered(sample[own], CENTROIDS)
+        near = (sample @ centres.T).max(1)
         names += [lang] * len(centres)
         centroids.append(centres)
-        least += [REJECTION * float(near.min(initial=1.0))] * len(centres)
+        bounds = []
+        for step in range(len(LENGTH_STEPS) + 1):
+            like = near[steps == step]
+            # A length that nothing was learned of has the bound of the shorter ones; none rejects none.
+            bounds.append(REJECTION * float(np.quantile(like, QUANTILE)) if len(like) else (bounds or [0.0])[-1])
+        least.append(np.repeat(np.array(bounds)[:, None], len(centres), 1))
     if not names:
         return None
-    return Model(weights, names, np.concatenate(centroids).astype(np.float32), np.array(least, np.float32))
+    return Model(weights, names, np.concatenate(centroids).astype(np.float32), np.concatenate(least, 1))
 
 
 def identify(docs: DataFrame, model: Model | None = None, whole: bool = False) -> DataFrame:
@@ -170,9 +214,8 @@ def identify(docs: DataFrame, model: Model | None = None, whole: bool = False) -
     Learned from text and language of documents whose crc32(doc_id) modulo PARTS is not PART; a
     prediction depends on the text alone. Null texts and texts without a letter are ``und`` with
     score 0 and rejected, as is everything if there is nothing to learn from. Rejected as well
-    are texts of some length that are far from every centroid; they still name the nearest.
-    Short texts are never rejected for their distance. With ``whole`` the row itself is ``_all``. Equal cosines go to the first language
-    by name. Rows without an id are judged and never learned from; repeated rows are judged
+    are texts that are far from every centroid, for their length; they still name the nearest.
+    With ``whole`` the row itself is ``_all``. Equal cosines go to the first language by name. Rows without an id are judged and never learned from; repeated rows are judged
     alike; long texts are counted slice by slice; an empty table gives an empty table. Columns
     other than doc_id, text and lang are not read.
     """
@@ -189,7 +232,6 @@ def identify(docs: DataFrame, model: Model | None = None, whole: bool = False) -
                 letters = np.zeros(len(texts), dtype=bool)
             else:
                 best, score, far = known.judge(vectors)
-                far &= np.array([len(t or "") >= FEW_BYTES for t in texts], dtype=bool)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).slice(low, high - low),
@@ -214,9 +256,6 @@ def identify(docs: DataFrame, model: Model | None = None, whole: bool = False) -
 
 
 def recognised(docs: DataFrame) -> DataFrame:
-    """The rows that are not rejected, each judged by its own text, all their columns kept.
-
-    Rows without an id stay.
-    """
-    judged = identify(docs, whole=True)
-    return judged.filter("NOT rejected OR doc_id IS NULL").select("_all.*")
+    """The rows that are not rejected, each judged by its own whole text, with an id or without,
+    all their columns kept, whatever their names. Equal rows stay or go together."""
+    return identify(docs, whole=True).filter("NOT rejected").select("_all.*")

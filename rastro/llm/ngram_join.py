@@ -559,14 +559,15 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each group of near copies, that with the smallest doc_id, all columns kept.
 
     Rows are compared one by one, also those with one doc_id or none; of equal ids one row stays.
+    Texts without words link with none and stay; long texts are compared whole.
     """
-    rows = numbered(docs)
-    found = near_duplicates(rows.select(F.col(ROW).alias("doc_id"), "text"))
+    rows, number = numbered(docs)
+    found = near_duplicates(rows.select(F.col(number).alias("doc_id"), "text"))
     # Rows that link with none are groups of their own.
     groups = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     linked = found.join(groups.select("component_id"), "component_id")
     linked = linked.select(F.col("doc_id").alias(ROW), "component_id")
-    members = pinned(linked.join(rows.select(ROW, F.col("doc_id").cast("long").alias("doc_id")), ROW))
+    members = pinned(linked.join(rows.select(F.col(number).alias(ROW), F.col("doc_id").cast("long").alias("doc_id")), ROW))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW))
     stay = members.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
-    return without(rows, members.join(stay, ROW, "left_anti"))
+    return without(rows, number, members.join(stay, ROW, "left_anti"))

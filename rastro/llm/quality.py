@@ -123,7 +123,8 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model:
     """A model from the labelled documents that are not held out.
 
     About SAMPLE_ROWS texts of each class, none longer than SAMPLE_BYTES. Labels other than 0
-    and 1 are left out; a document with both counts as good.
+    and 1 are left out; a document with both counts as good, and one with several texts has the
+    least of them.
     """
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.filter(~held_out("doc_id", PARTS, PART))
@@ -131,7 +132,8 @@ def learned(docs: DataFrame, labels: DataFrame) -> Model:
     # A fixed number of rows, so they are sent to the documents.
     chosen = F.broadcast(sampled(known, "_label", "doc_id", SAMPLE_ROWS))
     texts = docs.select("doc_id", "text").filter(F.octet_length("text") <= SAMPLE_BYTES)
-    rows = texts.join(chosen, "doc_id").toArrow()
+    # One text of each id, the least, however often the id is repeated.
+    rows = texts.join(chosen, "doc_id").groupBy("doc_id", "_label").agg(F.min("text").alias("text")).toArrow()
     return fit(
         [
             (i, t.encode(), y)

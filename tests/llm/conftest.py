@@ -3,7 +3,7 @@ import pytest
 from rastro.llm.common import reachable
 
 # Names that the operators use inside; a table may have them, too.
-CLASHING = ("score", "n", "row", "held_out", "token", "a", "v", "component_id", "rank", "length", "_gone", "size")
+CLASHING = ("score", "n", "row", "held_out", "token", "a", "v", "component_id", "rank", "length", "_gone", "size", "_row_number")
 
 
 @pytest.fixture(autouse=True)
