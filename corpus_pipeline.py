@@ -2,9 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; its result is
 written and read again as the next one's docs. All but the last return the columns of docs.
-Verdicts hold for rows, whether their doc_id is repeated or not; of near copies one row stays. Rows
-without a doc_id pass the first filter and are judged by the others; packing takes them as
-documents of their own. Empty tables pass through empty.
+Verdicts hold for rows, whether their doc_id is repeated, null or neither; of near copies one row
+stays. Packing takes rows without a doc_id as documents of their own. Texts are judged whole, equal
+rows alike, but for the near copies; other columns stay, whatever their names. Empty tables pass
+through empty.
 """
 
 from __future__ import annotations
