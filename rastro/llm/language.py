@@ -27,6 +27,8 @@ SAMPLE_ROWS = 400
 REJECTION, QUANTILE = 0.4, 0.01
 #: Bytes at which the bound changes. Pieces of the sampled texts stand for the short lengths.
 LENGTH_STEPS = (25, 50, 100, 200)
+#: Fewer texts than this say little about the words of others: they set one bound, for long texts.
+FEW_TEXTS = 20
 
 PARTS, PART = 3, 1
 UNKNOWN = "und"
@@ -195,6 +197,8 @@ def learned(docs: DataFrame) -> Model | None:
         sample = _normal(sample * weights)
         centres, _ = clustered(sample[own], CENTROIDS)
         near = (sample @ centres.T).max(1)
+        if own.sum() < FEW_TEXTS:
+            near, steps = near[own], np.full(own.sum(), len(LENGTH_STEPS))
         names += [lang] * len(centres)
         centroids.append(centres)
         bounds = []
