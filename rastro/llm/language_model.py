@@ -14,12 +14,11 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +37,15 @@ LANES, WINDOW, RATE = 128, 16, 0.004
 SCORE_LANES = 512
 #: Every training document is in one round.
 ROUNDS = 4
-#: Tokens that a task holds at a time, in training and in scoring.
-TRAIN_TOKENS, SCORE_TOKENS = 524_288, 3_000_000
-#: Words that a task counts before it passes them on.
-HELD_WORDS = 300_000
+#: Tokens that a task trains on at a time.
+TRAIN_TOKENS = 524_288
+#: Bytes of texts that a task numbers or scores at a time, and counts before it passes them on.
+TEXT_BYTES, COUNT_BYTES = 16 << 20, 32 << 20
 CHUNK = 8192
+#: Parameters that the optimiser takes at a time.
+PIECE = 32_768
+#: Sums of exponentials within these bounds lose nothing in single precision.
+LEAST_SUM, MOST_SUM = 1e-25, 1e25
 
 ROWS = (
     "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, "
@@ -50,9 +53,32 @@ ROWS = (
 )
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words between ASCII white space, in lower case (A-Z)."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+def words_of(texts: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """Words between ASCII white space, in lower case (A-Z), of all texts as bytes, and where
+    those of each text begin and end."""
+    words, sizes = [], [np.zeros(1, np.int64)]
+    for chunk in texts.chunks:
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(chunk.fill_null("")))
+        own = lists.flatten().cast(pa.large_binary())
+        places = lists.offsets.to_numpy().astype(np.int64)
+        # White space at either end of a text leaves an empty word there.
+        there = pc.binary_length(own).to_numpy() > 0
+        words.append(own if there.all() else own.filter(pa.array(there)))
+        sizes.append(np.diff(np.concatenate(([0], np.cumsum(there)))[places - places[0]]))
+    return pa.concat_arrays([pa.array([], pa.large_binary()), *words]), np.cumsum(np.concatenate(sizes))
+
+
+def grouped(batches, most=TEXT_BYTES):
+    """The batches as tables of about so many bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def ending(word: bytes) -> int:
@@ -63,27 +89,17 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over all texts; each task adds up before anything is shuffled."""
 
     def count(batches):
-        held: Counter[bytes] = Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                held.update(words_of(text.as_py()))
-                if len(held) > HELD_WORDS:
-                    yield _counted(held)
-                    held.clear()
-        if held:
-            yield _counted(held)
+        for table in grouped(batches, COUNT_BYTES):
+            words, _ = words_of(table.column(0))
+            found = pc.value_counts(words)
+            yield pa.RecordBatch.from_arrays(
+                [found.field("values").cast(pa.binary()), found.field("counts")], names=["word", "n"]
+            )
 
     rows = texts.select("text").mapInArrow(count, "word binary, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _counted(held: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(held.keys()), pa.binary()), pa.array(list(held.values()), pa.int64())],
-        names=["word", "n"],
-    )
-
-
 @dataclass
 class Lexicon:
     """What the corpus says about words; of bounded size, so every task holds it."""
@@ -102,21 +118,12 @@ class Lexicon:
         self.end = self.network
         self.size = self.network + 1
         self.classes = -(-self.size // CLASS_WORDS)
-        self._ids: dict[bytes, int] | None = None
-
-    @property
-    def ids(self) -> dict[bytes, int]:
-        if self._ids is None:
-            self._ids = {w: i for i, w in enumerate(self.words)}
-        return self._ids
-
-    def __getstate__(self):
-        return self.__dict__ | {"_ids": None}
 
     def prepare(self) -> None:
         """Logarithms of each counted word's share, and its input number."""
         if hasattr(self, "log_base"):
             return
+        self.keys = pa.array(self.words, pa.large_binary())
         floor = self.total + self.distinct + 1
         self.log_base = np.log10((self.counts + 1) / floor)
         self.log_base_end = math.log10((self.ends + 1) / floor)
@@ -126,6 +133,17 @@ class Lexicon:
         )
         self.inputs = np.concatenate([np.arange(self.network), self.size + tails]).astype(np.int32)
 
+    def numbers(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Places of words among the counted ones, -1 for others, and their input numbers: those
+        of the network, else that of their ending."""
+        found = pc.index_in(words, value_set=self.keys).fill_null(-1).to_numpy()
+        out = np.append(self.inputs, np.int32(0))[found]
+        others = np.flatnonzero(found < 0)
+        distinct = words.take(pa.array(others)).dictionary_encode()
+        endings = np.array([ending(w) for w in distinct.dictionary.to_pylist()], np.int32)
+        out[others] = self.size + endings[distinct.indices.to_numpy()]
+        return found, out
+
 
 def lexicon(counts: DataFrame, documents: int) -> Lexicon:
     """The lexicon of a written table of counts."""
@@ -165,6 +183,19 @@ def lexicon(counts: DataFrame, documents: int) -> Lexicon:
     )
 
 
+def _exponentials(logits: np.ndarray, axis: int) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of logits and their sums along an axis. Where a sum is too small or too large,
+    each place's greatest logit is taken off the logits first."""
+    with np.errstate(over="ignore"):
+        out = np.exp(logits)
+        sums = out.sum(axis) if axis == 0 else out @ np.ones(logits.shape[1], out.dtype)
+    if not ((sums > LEAST_SUM) & (sums < MOST_SUM)).all():
+        logits -= logits.max(axis, keepdims=True)
+        np.exp(logits, out=out)
+        sums = out.sum(axis)
+    return out, sums
+
+
 class Network:
     """Parameters, forward and backward passes."""
 
@@ -187,11 +218,12 @@ class Network:
             "input": small(WIDTH, 3 * STATE, scale=WIDTH**-0.5),
             "gate": np.zeros(3 * STATE, np.float32),
             "state": small(STATE, 3 * STATE, scale=STATE**-0.5),
-            "out": np.zeros((STATE, self.outputs), np.float32),
-            "out_0": np.log(np.concatenate([mass, tails])).astype(np.float32),
-            "word": np.zeros((self.classes, STATE, CLASS_WORDS), np.float32),
-            "word_0": within,
+            # Constants stand behind the weights.
+            "out": np.zeros((STATE + 1, self.outputs), np.float32),
+            "word": np.zeros((self.classes, STATE + 1, CLASS_WORDS), np.float32),
         }
+        self.p["out"][-1] = np.log(np.concatenate([mass, tails]))
+        self.p["word"][:, -1] = within
 
     def flat(self) -> np.ndarray:
         return np.concatenate([v.ravel() for v in self.p.values()]).astype(float)
@@ -204,118 +236,162 @@ class Network:
         return self
 
     def states(self, inputs, fresh, state):
-        """States after each step of a window (steps, lanes); ``fresh`` lanes begin anew."""
-        p, n = self.p, STATE
-        steps = (p["embed"][inputs] @ p["input"] + p["gate"]).astype(np.float32)
-        kept = []
-        for t in range(len(inputs)):
-            if fresh[t].any():
-                state = state * ~fresh[t][:, None]
-            own = state @ p["state"]
-            gates = 1 / (1 + np.exp(-(steps[t][:, : 2 * n] + own[:, : 2 * n])))
-            z, r = gates[:, :n], gates[:, n:]
-            new = np.tanh(steps[t][:, 2 * n :] + r * own[:, 2 * n :])
-            kept.append((state, z, r, new, own[:, 2 * n :]))
-            state = new + z * (state - new)
-        return state, kept
+        """The state behind a window (lanes, STATE), and by step and lane, lanes last: states
+        before each step, gates, the state's part of the candidates, candidates, states after.
+        ``fresh`` lanes begin anew."""
+        p, n, shape = self.p, STATE, inputs.shape
+        embedded = np.take(p["embed"], inputs, axis=0)
+        steps = np.matmul(p["input"].T, embedded.transpose(0, 2, 1))
+        steps += p["gate"][:, None]
+        kind = np.result_type(steps, state, p["state"])
+        before, new, after = (np.empty((shape[0], n, shape[1]), kind) for _ in range(3))
+        gates, own = np.empty((shape[0], 2 * n, shape[1]), kind), np.empty((shape[0], 3 * n, shape[1]), kind)
+        state, by_state = np.ascontiguousarray(state.T, kind), np.ascontiguousarray(p["state"].T, kind)
+        some, stays = fresh.any(1), ~fresh
+        for t in range(shape[0]):
+            np.multiply(state, stays[t], out=before[t]) if some[t] else np.copyto(before[t], state)
+            by_state.dot(before[t], out=own[t])
+            gate, candidate = gates[t], new[t]
+            np.add(steps[t, : 2 * n], own[t, : 2 * n], out=gate)
+            np.negative(gate, out=gate)
+            np.exp(gate, out=gate)
+            gate += 1
+            np.reciprocal(gate, out=gate)
+            np.multiply(gate[n:], own[t, 2 * n :], out=candidate)
+            candidate += steps[t, 2 * n :]
+            np.tanh(candidate, out=candidate)
+            state = after[t]
+            np.subtract(before[t], candidate, out=state)
+            state *= gate[:n]
+            state += candidate
+        return state.T, (embedded, before, gates, own[:, 2 * n :], new, after)
+
+    @staticmethod
+    def _places(after):
+        """States by place, step after step, with a 1 behind each for the constants."""
+        steps, n, lanes = after.shape
+        h = np.ones((steps, lanes, n + 1), after.dtype)
+        h[:, :, :n] = after.transpose(0, 2, 1)
+        return h.reshape(-1, n + 1)
 
     def _out(self, h, targets):
-        """For each place: class log-softmax, and by class the places and their inner softmax."""
+        """Log-probability of each place's target. For the way back: where the target's class is
+        in the exponentials over classes (classes, places), these and their sums; and of the
+        places inside of the network, class after class, their numbers, the borders of the
+        classes, states, weights, words, exponentials over the class and their sums."""
         p = self.p
-        logits = h @ p["out"] + p["out_0"]
-        logits -= logits.max(1, keepdims=True)
-        expd = np.exp(logits)
-        sums = expd.sum(1, keepdims=True)
         of = np.where(targets < self.size, targets // CLASS_WORDS, targets - self.size + self.classes)
-        logp = logits[np.arange(len(h)), of] - np.log(sums[:, 0])
-        order = np.argsort(of, kind="stable")
-        borders = np.searchsorted(of[order], np.arange(self.classes + 1))
-        inner = []
-        for c in np.flatnonzero(np.diff(borders)):
-            rows = order[borders[c] : borders[c + 1]]
-            own = h[rows] @ p["word"][c] + p["word_0"][c]
-            own -= own.max(1, keepdims=True)
-            probability = np.exp(own)
-            total = probability.sum(1, keepdims=True)
-            at = targets[rows] - c * CLASS_WORDS
-            logp[rows] += own[np.arange(len(rows)), at] - np.log(total[:, 0])
-            inner.append((c, rows, at, probability, total))
-        return logp, of, expd, sums, inner
+        chosen = of * len(h) + np.arange(len(h))
+        logits = p["out"].T.dot(h.T)
+        outer, sums = _exponentials(logits, 0)
+        logp = logits.ravel()[chosen] - np.log(sums)
+        borders = np.cumsum([0, *np.bincount(of, minlength=self.outputs)[: self.classes]]).tolist()
+        # Small numbers are sorted by their digits.
+        order = np.argsort(of.astype(np.uint16), kind="stable")[: borders[-1]]
+        within = np.take(h, order, axis=0)
+        logits = np.empty((len(order), CLASS_WORDS), within.dtype)
+        words = p["word"].astype(logits.dtype, copy=False)
+        for c, (low, high) in enumerate(zip(borders, borders[1:])):
+            if high > low:
+                within[low:high].dot(words[c], out=logits[low:high])
+        inner, totals = _exponentials(logits, 1)
+        at = targets[order] - of[order] * CLASS_WORDS + np.arange(len(order)) * CLASS_WORDS
+        logp[order] += logits.ravel()[at] - np.log(totals)
+        return logp, (chosen, outer, sums), (order, borders, within, words, at, inner, totals)
 
     def log_probability(self, inputs, targets, fresh, state):
         """Natural logarithms of the targets' probabilities, and the state behind the window.
         Of a target outside of the network, that of its class."""
         end, kept = self.states(inputs, fresh, state)
-        after = [k[0] for k in kept[1:]]
-        h = np.concatenate([self._after(kept)], 0) if not after else self._after(kept)
-        logp, *_ = self._out(h.reshape(-1, STATE), targets.ravel())
+        logp, *_ = self._out(self._places(kept[-1]), targets.ravel())
         return logp.reshape(targets.shape), end
 
-    @staticmethod
-    def _after(kept):
-        return np.stack([new + z * (state - new) for state, z, _, new, _ in kept])
-
     def gradients(self, inputs, targets, weight, fresh, state):
-        p, n = self.p, STATE
-        end, kept = self.states(inputs, fresh, state)
-        h3 = self._after(kept)
-        h, y, w = h3.reshape(-1, n), targets.ravel(), weight.ravel().astype(np.float32)
-        logp, of, expd, sums, inner = self._out(h, y)
-        d_logits = expd * (w[:, None] / sums)
-        d_logits[np.arange(len(h)), of] -= w
-        g = {"out": h.T @ d_logits, "out_0": d_logits.sum(0)}
-        dh = d_logits @ p["out"].T
-        g["word"], g["word_0"] = np.zeros_like(p["word"]), np.zeros_like(p["word_0"])
-        for c, rows, at, probability, total in inner:
-            d = probability * (w[rows][:, None] / total)
-            d[np.arange(len(rows)), at] -= w[rows]
-            g["word"][c] = h[rows].T @ d
-            g["word_0"][c] = d.sum(0)
-            dh[rows] += d @ p["word"][c].T
-        dh = dh.reshape(h3.shape)
-        carried = np.zeros_like(state)
-        d_step = np.empty((*inputs.shape, 3 * n), np.float32)
-        d_own = np.empty_like(d_step)
-        for t in range(len(inputs) - 1, -1, -1):
-            before, z, r, new, own = kept[t]
-            d = dh[t] + carried
-            d_new = d * (1 - z) * (1 - new * new)
-            d_step[t, :, :n] = d_own[t, :, :n] = d * (before - new) * z * (1 - z)
-            d_step[t, :, n : 2 * n] = d_own[t, :, n : 2 * n] = d_new * own * r * (1 - r)
-            d_step[t, :, 2 * n :] = d_new
-            d_own[t, :, 2 * n :] = d_new * r
-            carried = d * z + d_own[t] @ p["state"].T
-            if fresh[t].any():
-                carried = carried * ~fresh[t][:, None]
-        befores = np.stack([k[0] for k in kept]).reshape(-1, n)
-        flat = d_step.reshape(-1, 3 * n)
+        p, n, (steps, lanes) = self.p, STATE, inputs.shape
+        end, (embedded, before, gates, own, new, after) = self.states(inputs, fresh, state)
+        h, y, w = self._places(after), targets.ravel(), weight.ravel().astype(np.float32)
+        _, (chosen, d_outer, sums), (order, borders, within, words, at, d_inner, totals) = self._out(h, y)
+        d_outer *= w / sums
+        d_outer.ravel()[chosen] -= w
+        g = {"out": np.ascontiguousarray(d_outer.dot(h).T), "word": np.zeros_like(words)}
+        dh = d_outer.T.dot(p["out"].T)
+        own_w = w[order]
+        d_inner *= (own_w / totals)[:, None]
+        d_inner.ravel()[at] -= own_w
+        d_within = np.empty_like(within)
+        for c, (low, high) in enumerate(zip(borders, borders[1:])):
+            if high > low:
+                within[low:high].T.dot(d_inner[low:high], out=g["word"][c])
+                d_inner[low:high].dot(words[c].T, out=d_within[low:high])
+        dh[order] += d_within
+
+        # What a step sends back through its gates and candidates, for all steps at once.
+        z, r = gates[:, :n], gates[:, n:]
+        rest = 1 - z
+        by_new = 1 - new * new
+        by_new *= rest
+        back = np.empty((steps, 3, n, lanes), by_new.dtype)
+        np.subtract(before, new, out=back[:, 0])
+        back[:, 0] *= z
+        back[:, 0] *= rest
+        np.multiply(by_new, r, out=back[:, 2])
+        np.subtract(1, r, out=back[:, 1])
+        back[:, 1] *= own
+        back[:, 1] *= back[:, 2]
+        d_after = np.ascontiguousarray(dh.reshape(steps, lanes, n + 1)[:, :, :n].transpose(0, 2, 1))
+        d_own = np.empty_like(back)
+        by_state = np.ascontiguousarray(p["state"], back.dtype)
+        some, stays = fresh.any(1), ~fresh
+        carried = np.zeros((n, lanes), back.dtype)
+        for t in range(steps - 1, -1, -1):
+            d = d_after[t]
+            d += carried
+            np.multiply(d, back[t], out=d_own[t])
+            by_state.dot(d_own[t].reshape(3 * n, lanes), out=carried)
+            carried += d * z[t]
+            if some[t]:
+                carried *= stays[t]
+        by_lane = d_own.reshape(steps, 3 * n, lanes).transpose(0, 2, 1)
+        g["state"] = np.matmul(before, by_lane).sum(0)
+        np.multiply(d_after, by_new, out=d_own[:, 2])
+        g["gate"] = d_own.sum((0, 3)).ravel()
+        g["input"] = np.matmul(embedded.transpose(0, 2, 1), by_lane).sum(0)
+        d_x = np.matmul(by_lane, p["input"].T).reshape(-1, WIDTH)
         x = inputs.ravel()
-        g["state"] = befores.T @ d_own.reshape(-1, 3 * n)
-        g["gate"] = flat.sum(0)
-        g["input"] = p["embed"][x].T @ flat
-        d_x = flat @ p["input"].T
-        order = np.argsort(x, kind="stable")
-        firsts = np.flatnonzero(np.diff(x[order], prepend=-1))
+        order = np.argsort(x.astype(np.uint16) if self.size + ENDINGS < 1 << 16 else x, kind="stable")
+        x = x[order]
+        firsts = np.flatnonzero(np.diff(x, prepend=-1))
         g["embed"] = np.zeros_like(p["embed"])
-        g["embed"][x[order][firsts]] = np.add.reduceat(d_x[order], firsts, axis=0)
+        g["embed"][x[firsts]] = np.add.reduceat(np.take(d_x, order, axis=0), firsts, axis=0)
         return g, end
 
 
 class Adam:
     def __init__(self, network: Network) -> None:
         self.network, self.t = network, 0
+        # The moments, but for the factors 0.1 and 0.001.
         self.first = {k: np.zeros_like(v) for k, v in network.p.items()}
         self.second = {k: np.zeros_like(v) for k, v in network.p.items()}
 
     def step(self, gradients: dict[str, np.ndarray], tokens: float) -> None:
         self.t += 1
-        rate = RATE * math.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t)
+        rate = RATE * math.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t) * 0.1 * math.sqrt(1000)
         for name, g in gradients.items():
-            g = g / tokens
-            first, second = self.first[name], self.second[name]
-            first += 0.1 * (g - first)
-            second += 0.001 * (g * g - second)
-            self.network.p[name] -= rate * first / (np.sqrt(second) + 1e-6)
+            all_of = [x.reshape(-1) for x in (self.network.p[name], g, self.first[name], self.second[name])]
+            # Pieces that stay near the processor while they are worked on.
+            for low in range(0, g.size, PIECE):
+                value, slope, first, second = (x[low : low + PIECE] for x in all_of)
+                slope = slope / tokens
+                first *= 0.9
+                first += slope
+                slope *= slope
+                second *= 0.999
+                second += slope
+                np.sqrt(second, out=slope)
+                slope += 1e-6 * math.sqrt(1000)
+                np.divide(first, slope, out=slope)
+                slope *= rate
+                value -= slope
 
 
 def train(network: Network, optimiser: Adam, documents: list[np.ndarray], end: int) -> None:
@@ -340,7 +416,7 @@ def train(network: Network, optimiser: Adam, documents: list[np.ndarray], end: i
         optimiser.step(gradients, max(1.0, float(weight[part].sum())))
 
 
-def score(network: Network, documents: list[np.ndarray], end: int, window: int = 64) -> np.ndarray:
+def score(network: Network, documents: list[np.ndarray], end: int, window: int = 16) -> np.ndarray:
     """Natural log-likelihood of each whole document, the end included."""
     # As many lanes as the longest document allows to be of one length.
     sizes = [len(d) + 1 for d in documents]
@@ -393,11 +469,11 @@ def trained(texts: DataFrame, lexicon_shared, rounds: int = ROUNDS) -> Network:
         def learn(batches, start=start):
             words = lexicon_shared.value
             words.prepare()
-            ids, own = words.ids, Network(words).load(start.value)
+            own = Network(words).load(start.value)
             optimiser, held, waiting, tokens = Adam(own), [], 0, 0
-            for batch in batches:
-                for text in batch.column(0):
-                    document = _numbers(words, ids, words_of(text.as_py()))
+            for table in grouped(batches):
+                every, places = words_of(table.column(0))
+                for document in np.split(words.numbers(every)[1], places[1:-1]):
                     held.append(document)
                     waiting += len(document) + 1
                     if waiting >= TRAIN_TOKENS:
@@ -426,75 +502,51 @@ def trained(texts: DataFrame, lexicon_shared, rounds: int = ROUNDS) -> Network:
     return network
 
 
-def _numbers(lexicon: Lexicon, ids: dict[bytes, int], words: list[bytes]) -> np.ndarray:
-    """Input numbers of words: those of the network, else that of their ending."""
-    return _numbers_of(lexicon, words, _found(ids, words))
-
-
-def _found(ids: dict[bytes, int], words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(ids.get, words, repeat(-1)), np.int64, len(words))
-
-
 def _scored(shared, flat, batches):
     from pyspark import TaskContext
 
     words = shared.value
     words.prepare()
-    ids, network = words.ids, Network(words).load(flat.value)
+    network = Network(words).load(flat.value)
     row = TaskContext.get().partitionId() << 33
-    held, waiting = [], 0
-    for batch in batches:
-        keys, folds = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-        for key, fold, text in zip(keys, folds, batch.column(2)):
-            tokens = words_of(text.as_py())
-            found = _found(ids, tokens)
-            numbers = _numbers_of(words, tokens, found)
-            counted = found[found >= 0]
-            tails = counted[counted >= words.network] - words.network
-            rest = Counter(tokens[i] for i in np.flatnonzero(found < 0).tolist())
-            held.append(
-                (
-                    row,
-                    key,
-                    fold,
-                    len(tokens) + 1,
-                    len(counted) + (words.ends > 0),
-                    float(words.log_base[counted].sum()) + words.log_base_end,
-                    float(words.log_in_class[tails].sum()),
-                    [{"word": w, "ending": ending(w), "n": n} for w, n in rest.items()],
-                    numbers,
-                )
-            )
-            row += 1
-            waiting += len(tokens) + 1
-            if waiting >= SCORE_TOKENS:
-                yield _rows(network, words, held)
-                held, waiting = [], 0
-    if held:
-        yield _rows(network, words, held)
-
-
-def _numbers_of(lexicon: Lexicon, tokens: list[bytes], found: np.ndarray) -> np.ndarray:
-    out = lexicon.inputs[found] if len(lexicon.inputs) else np.zeros(len(found), np.int32)
-    for i in np.flatnonzero(found < 0).tolist():
-        out[i] = lexicon.size + ending(tokens[i])
-    return out
-
-
-def _rows(network, words, held) -> pa.RecordBatch:
-    logs = score(network, [h[-1] for h in held], words.end) / math.log(10)
-    columns = list(zip(*held))
-    kind = pa.list_(pa.struct([("word", pa.binary()), ("ending", pa.int32()), ("n", pa.int32())]))
+    for table in grouped(batches):
+        yield _rows(network, words, table, row)
+        row += len(table)
+
+
+def _rows(network: Network, words: Lexicon, table: pa.Table, row: int) -> pa.RecordBatch:
+    every, places = words_of(table.column(2))
+    found, numbers = words.numbers(every)
+    documents, sizes = len(table), np.diff(places)
+    of = np.repeat(np.arange(documents, dtype=np.int32), sizes)
+    known = found >= 0
+    tails = found >= words.network
+    logs = score(network, np.split(numbers, places[1:-1]), words.end) / math.log(10)
+    in_class = np.bincount(of[tails], words.log_in_class[found[tails] - words.network], documents)
+
+    # Words that no task holds, once for a document.
+    others = every.filter(pa.array(~known)).dictionary_encode()
+    distinct = len(others.dictionary)
+    pairs, times = np.unique(
+        of[~known].astype(np.int64) * max(distinct, 1) + others.indices.to_numpy(), return_counts=True
+    )
+    document, word = pairs // max(distinct, 1), pairs % max(distinct, 1)
+    endings = np.array([ending(w) for w in others.dictionary.to_pylist()], np.int32)
+    rest = pa.StructArray.from_arrays(
+        [others.dictionary.cast(pa.binary()).take(pa.array(word)), pa.array(endings[word]), pa.array(times, pa.int32())],
+        names=["word", "ending", "n"],
+    )
+    borders = np.searchsorted(document, np.arange(documents + 1)).astype(np.int32)
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(columns[0], pa.int64()),
-            pa.array(columns[1], pa.int64()),
-            pa.array(columns[2], pa.bool_()),
-            pa.array(columns[3], pa.int64()),
-            pa.array(columns[4], pa.int64()),
-            pa.array(columns[5], pa.float64()),
-            pa.array(np.array(columns[6]) + logs, pa.float64()),
-            pa.array(columns[7], kind),
+            pa.array(np.arange(row, row + documents)),
+            table.column(0).combine_chunks(),
+            table.column(1).combine_chunks(),
+            pa.array(sizes + 1),
+            pa.array(np.bincount(of[known], minlength=documents) + (words.ends > 0)),
+            pa.array(np.bincount(of[known], words.log_base[found[known]], documents) + words.log_base_end),
+            pa.array(in_class + logs),
+            pa.ListArray.from_arrays(borders, rest),
         ],
         names=[f.split()[0] for f in "row,doc_id,held_out,n_tokens,n_known,base,model,rest".split(",")],
     )
