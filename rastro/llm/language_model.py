@@ -39,18 +39,19 @@ SCORE_LANES = 512
 ROUNDS = 4
 #: Tokens that a task trains on at a time.
 TRAIN_TOKENS = 524_288
-#: Bytes of texts that a task numbers or scores at a time, and counts before it passes them on.
+#: Bytes of texts that a task numbers at a time, and counts before it passes them on.
 TEXT_BYTES, COUNT_BYTES = 16 << 20, 32 << 20
+#: Bytes of numbered documents that a task scores at a time, two for a token.
+SCORE_BYTES = 6 << 20
 CHUNK = 8192
 #: Parameters that the optimiser takes at a time.
 PIECE = 32_768
 #: Sums of exponentials within these bounds lose nothing in single precision.
 LEAST_SUM, MOST_SUM = 1e-25, 1e25
 
-ROWS = (
-    "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double, "
-    "rest array<struct<word: binary, ending: int, n: int>>"
-)
+KEYS = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, model double"
+#: ``model`` has the shares within classes by ending alone.
+NUMBERED = KEYS + ", rest array<struct<word: binary, ending: int, n: int>>, numbers binary"
 
 
 def words_of(texts: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
@@ -72,6 +73,8 @@ def grouped(batches, most=TEXT_BYTES):
     """The batches as tables of about so many bytes."""
     held, size = [], 0
     for batch in batches:
+        if not len(batch):
+            continue
         held.append(batch)
         size += batch.nbytes
         if size >= most:
@@ -142,7 +145,7 @@ class Lexicon:
         distinct = words.take(pa.array(others)).dictionary_encode()
         endings = np.array([ending(w) for w in distinct.dictionary.to_pylist()], np.int32)
         out[others] = self.size + endings[distinct.indices.to_numpy()]
-        return found, out
+        return found, out.astype(np.uint16)
 
 
 def lexicon(counts: DataFrame, documents: int) -> Lexicon:
@@ -183,17 +186,21 @@ def lexicon(counts: DataFrame, documents: int) -> Lexicon:
     )
 
 
-def _exponentials(logits: np.ndarray, axis: int) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials of logits and their sums along an axis. Where a sum is too small or too large,
-    each place's greatest logit is taken off the logits first."""
+def _exponentials(product, chosen: np.ndarray, axis: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log-softmax of the chosen places of a product's logits, exponentials and their sums along
+    an axis. Where a sum is too small or too large, the greatest logits are taken off first."""
+    out = product()
+    found = out.ravel()[chosen]
     with np.errstate(over="ignore"):
-        out = np.exp(logits)
-        sums = out.sum(axis) if axis == 0 else out @ np.ones(logits.shape[1], out.dtype)
+        np.exp(out, out=out)
+        sums = out.sum(axis) if axis == 0 else out @ np.ones(out.shape[1], out.dtype)
     if not ((sums > LEAST_SUM) & (sums < MOST_SUM)).all():
-        logits -= logits.max(axis, keepdims=True)
-        np.exp(logits, out=out)
+        out = product()
+        out -= out.max(axis, keepdims=True)
+        found = out.ravel()[chosen]
+        np.exp(out, out=out)
         sums = out.sum(axis)
-    return out, sums
+    return found - np.log(sums), out, sums
 
 
 class Network:
@@ -282,21 +289,23 @@ class Network:
         p = self.p
         of = np.where(targets < self.size, targets // CLASS_WORDS, targets - self.size + self.classes)
         chosen = of * len(h) + np.arange(len(h))
-        logits = p["out"].T.dot(h.T)
-        outer, sums = _exponentials(logits, 0)
-        logp = logits.ravel()[chosen] - np.log(sums)
+        logp, outer, sums = _exponentials(lambda: p["out"].T.dot(h.T), chosen, 0)
         borders = np.cumsum([0, *np.bincount(of, minlength=self.outputs)[: self.classes]]).tolist()
         # Small numbers are sorted by their digits.
         order = np.argsort(of.astype(np.uint16), kind="stable")[: borders[-1]]
         within = np.take(h, order, axis=0)
-        logits = np.empty((len(order), CLASS_WORDS), within.dtype)
-        words = p["word"].astype(logits.dtype, copy=False)
-        for c, (low, high) in enumerate(zip(borders, borders[1:])):
-            if high > low:
-                within[low:high].dot(words[c], out=logits[low:high])
-        inner, totals = _exponentials(logits, 1)
+        words = p["word"].astype(within.dtype, copy=False)
+
+        def by_class():
+            logits = np.empty((len(order), CLASS_WORDS), within.dtype)
+            for word, low, high in zip(words, borders, borders[1:]):
+                if high > low:
+                    within[low:high].dot(word, out=logits[low:high])
+            return logits
+
         at = targets[order] - of[order] * CLASS_WORDS + np.arange(len(order)) * CLASS_WORDS
-        logp[order] += logits.ravel()[at] - np.log(totals)
+        inside, inner, totals = _exponentials(by_class, at, 1)
+        logp[order] += inside
         return logp, (chosen, outer, sums), (order, borders, within, words, at, inner, totals)
 
     def log_probability(self, inputs, targets, fresh, state):
@@ -373,7 +382,8 @@ class Adam:
         self.first = {k: np.zeros_like(v) for k, v in network.p.items()}
         self.second = {k: np.zeros_like(v) for k, v in network.p.items()}
 
-    def step(self, gradients: dict[str, np.ndarray], tokens: float) -> None:
+    def step(self, gradients: dict[str, np.ndarray]) -> None:
+        """One step; the gradients' memory is used up."""
         self.t += 1
         rate = RATE * math.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t) * 0.1 * math.sqrt(1000)
         for name, g in gradients.items():
@@ -381,7 +391,6 @@ class Adam:
             # Pieces that stay near the processor while they are worked on.
             for low in range(0, g.size, PIECE):
                 value, slope, first, second = (x[low : low + PIECE] for x in all_of)
-                slope = slope / tokens
                 first *= 0.9
                 first += slope
                 slope *= slope
@@ -412,8 +421,9 @@ def train(network: Network, optimiser: Adam, documents: list[np.ndarray], end: i
     state = np.zeros((lanes, STATE), np.float32)
     for low in range(0, length, WINDOW):
         part = slice(low, low + WINDOW)
-        gradients, state = network.gradients(inputs[part], targets[part], weight[part], fresh[part], state)
-        optimiser.step(gradients, max(1.0, float(weight[part].sum())))
+        share = weight[part] / max(1.0, float(weight[part].sum()))
+        gradients, state = network.gradients(inputs[part], targets[part], share, fresh[part], state)
+        optimiser.step(gradients)
 
 
 def score(network: Network, documents: list[np.ndarray], end: int, window: int = 16) -> np.ndarray:
@@ -455,25 +465,23 @@ def score(network: Network, documents: list[np.ndarray], end: int, window: int =
     return total[:-1]
 
 
-def trained(texts: DataFrame, lexicon_shared, rounds: int = ROUNDS) -> Network:
+def trained(numbered: DataFrame, lexicon_shared, rounds: int = ROUNDS) -> Network:
     """Parameters after all rounds, averaged over the tasks of each by their tokens."""
     known = lexicon_shared.value
     network = Network(known)
     size = len(network.flat())
     chunks = -(-size // CHUNK)
-    spark = texts.sparkSession
+    spark = numbered.sparkSession
     for turn in range(rounds):
-        mine = texts.filter(F.pmod(F.xxhash64(F.lit("round"), F.col("doc_id")), F.lit(rounds)) == turn)
+        mine = numbered.filter(F.pmod(F.xxhash64(F.lit("round"), F.col("doc_id")), F.lit(rounds)) == turn)
         start = spark.sparkContext.broadcast(network.flat())
 
         def learn(batches, start=start):
             words = lexicon_shared.value
-            words.prepare()
             own = Network(words).load(start.value)
             optimiser, held, waiting, tokens = Adam(own), [], 0, 0
-            for table in grouped(batches):
-                every, places = words_of(table.column(0))
-                for document in np.split(words.numbers(every)[1], places[1:-1]):
+            for batch in batches:
+                for document in _documents(batch.column(0)):
                     held.append(document)
                     waiting += len(document) + 1
                     if waiting >= TRAIN_TOKENS:
@@ -492,7 +500,7 @@ def trained(texts: DataFrame, lexicon_shared, rounds: int = ROUNDS) -> Network:
                     names=["chunk", "values"],
                 )
 
-        sums = summed_vectors(mine.select("text").mapInArrow(learn, "chunk int, values array<double>")).collect()
+        sums = summed_vectors(mine.select("numbers").mapInArrow(learn, "chunk int, values array<double>")).collect()
         if sums:
             flat = np.zeros((chunks, CHUNK))
             for row in sums:
@@ -502,26 +510,41 @@ def trained(texts: DataFrame, lexicon_shared, rounds: int = ROUNDS) -> Network:
     return network
 
 
+def _documents(column: pa.Array) -> list[np.ndarray]:
+    """Input numbers of the words of numbered documents."""
+    # An empty column may have no memory to read from.
+    return [np.frombuffer(x, np.uint16) if x else np.zeros(0, np.uint16) for x in column.to_pylist()]
+
+
 def _scored(shared, flat, batches):
+    words = shared.value
+    network = Network(words).load(flat.value)
+    for table in grouped(batches, SCORE_BYTES):
+        documents = [d for chunk in table.column("numbers").chunks for d in _documents(chunk)]
+        logs = score(network, documents, words.end) / math.log(10)
+        model = pc.add(table.column("model"), pa.array(logs))
+        scored = table.set_column(table.column_names.index("model"), "model", model).drop_columns("numbers")
+        yield from scored.combine_chunks().to_batches()
+
+
+def _numbered(shared, batches):
     from pyspark import TaskContext
 
     words = shared.value
     words.prepare()
-    network = Network(words).load(flat.value)
     row = TaskContext.get().partitionId() << 33
     for table in grouped(batches):
-        yield _rows(network, words, table, row)
+        yield _rows(words, table, row)
         row += len(table)
 
 
-def _rows(network: Network, words: Lexicon, table: pa.Table, row: int) -> pa.RecordBatch:
+def _rows(words: Lexicon, table: pa.Table, row: int) -> pa.RecordBatch:
     every, places = words_of(table.column(2))
     found, numbers = words.numbers(every)
     documents, sizes = len(table), np.diff(places)
     of = np.repeat(np.arange(documents, dtype=np.int32), sizes)
     known = found >= 0
     tails = found >= words.network
-    logs = score(network, np.split(numbers, places[1:-1]), words.end) / math.log(10)
     in_class = np.bincount(of[tails], words.log_in_class[found[tails] - words.network], documents)
 
     # Words that no task holds, once for a document.
@@ -545,10 +568,13 @@ def _rows(network: Network, words: Lexicon, table: pa.Table, row: int) -> pa.Rec
             pa.array(sizes + 1),
             pa.array(np.bincount(of[known], minlength=documents) + (words.ends > 0)),
             pa.array(np.bincount(of[known], words.log_base[found[known]], documents) + words.log_base_end),
-            pa.array(in_class + logs),
+            pa.array(in_class, pa.float64()),
             pa.ListArray.from_arrays(borders, rest),
+            pa.Array.from_buffers(
+                pa.binary(), documents, [None, pa.py_buffer((2 * places).astype(np.int32)), pa.py_buffer(numbers)]
+            ),
         ],
-        names=[f.split()[0] for f in "row,doc_id,held_out,n_tokens,n_known,base,model,rest".split(",")],
+        names="row,doc_id,held_out,n_tokens,n_known,base,model,rest,numbers".split(","),
     )
 
 
@@ -572,11 +598,14 @@ def likelihood(docs: DataFrame) -> DataFrame:
     counts = pinned(word_counts(learn))
     known = lexicon(counts, learn.count())
     shared = spark.sparkContext.broadcast(known)
-    flat = spark.sparkContext.broadcast(trained(learn, shared).flat())
-    scored = pinned(given.mapInArrow(lambda batches: _scored(shared, flat, batches), ROWS))
+    numbered = pinned(given.mapInArrow(lambda batches: _numbered(shared, batches), NUMBERED))
+    lessons = numbered.filter("NOT held_out AND doc_id IS NOT NULL")
+    flat = spark.sparkContext.broadcast(trained(lessons, shared).flat())
+    numbers = numbered.drop("rest")
+    scored = pinned(numbers.mapInArrow(lambda batches: _scored(shared, flat, batches), KEYS))
 
     # Words that no task holds: their counts come by a join.
-    rest = scored.select("row", F.explode("rest").alias("r")).select(
+    rest = numbered.select("row", F.explode("rest").alias("r")).select(
         "row", "r.word", "r.ending", F.col("r.n").alias("times")
     )
     floor = F.lit(math.log10(known.total + known.distinct + 1))

@@ -1,8 +1,10 @@
 import math
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rastro.llm import language_model as lm
@@ -133,3 +135,98 @@ def test_state_is_carried_across_windows(lexicon):
     assert lm.score(network, documents, lexicon.end, window=7) == pytest.approx(whole, rel=1e-4)
     for d, want in zip(documents, whole):
         assert lm.score(network, [d], lexicon.end)[0] == pytest.approx(want, rel=1e-4)
+
+
+def by_gathered_rows(network, h, targets):
+    """The way forward and back through both softmaxes, with rows gathered class by class."""
+    out, word, size = network.p["out"], network.p["word"], network.size
+    of = np.where(targets < size, targets // lm.CLASS_WORDS, targets - size + network.classes)
+    logits = h @ out
+    logits -= logits.max(1, keepdims=True)
+    shares = np.exp(logits)
+    sums = shares.sum(1, keepdims=True)
+    logp = logits[np.arange(len(h)), of] - np.log(sums[:, 0])
+    d_out = shares / sums
+    d_out[np.arange(len(h)), of] -= 1
+    by_word = np.zeros_like(word)
+    for c in range(network.classes):
+        rows = np.flatnonzero(of == c)
+        if len(rows):
+            logits = h[rows] @ word[c]
+            logits -= logits.max(1, keepdims=True)
+            shares = np.exp(logits)
+            sums = shares.sum(1, keepdims=True)
+            at = targets[rows] - c * lm.CLASS_WORDS
+            logp[rows] += logits[np.arange(len(rows)), at] - np.log(sums[:, 0])
+            d = shares / sums
+            d[np.arange(len(rows)), at] -= 1
+            by_word[c] = h[rows].T @ d
+    return logp, h.T @ d_out, by_word
+
+
+@pytest.fixture(scope="module")
+def step():
+    """A network of full size and a window of LANES lanes."""
+    counts = 1e6 / np.arange(1, 5001)
+    tail = np.full(lm.ENDINGS, 1000.0)
+    words = lm.Lexicon([b"w%d" % i for i in range(5000)], counts, int(counts.sum()), 5001, 20, tail, tail)
+    network, random = lm.Network(words), np.random.default_rng(5)
+    for name in ("out", "word"):
+        network.p[name] += random.normal(size=network.p[name].shape).astype(np.float32) * 0.3
+    shape = (lm.WINDOW, lm.LANES)
+    of = np.append(counts[: network.size - 1], np.full(lm.ENDINGS + 1, 4e4))
+    inputs, targets = (random.choice(len(of), shape, p=of / of.sum()) for _ in range(2))
+    return network, (inputs, targets, np.ones(shape, np.float32), random.random(shape) < 0.01)
+
+
+def test_slices_equal_gathered_rows(step):
+    network, (inputs, targets, weight, fresh) = step
+    state = np.zeros((lm.LANES, lm.STATE), np.float32)
+    kept = network.states(inputs, fresh, state)[1]
+    h = network._places(kept[-1])
+    logp, by_out, by_word = by_gathered_rows(network, h, targets.ravel())
+    found, _ = network.log_probability(inputs, targets, fresh, state)
+    np.testing.assert_allclose(found.ravel(), logp, rtol=1e-4, atol=1e-4)
+    gradients, _ = network.gradients(inputs, targets, weight, fresh, state)
+    np.testing.assert_allclose(gradients["out"], by_out, rtol=1e-3, atol=5e-3)
+    np.testing.assert_allclose(gradients["word"], by_word, rtol=1e-3, atol=5e-3)
+
+
+def test_a_whole_step_costs_little_beyond_softmaxes_by_gathered_rows(step):
+    """Before, a step of 2,048 tokens took 1.9 times as long as this part of it alone; now 0.9."""
+    network, (inputs, targets, weight, fresh) = step
+    state = np.zeros((lm.LANES, lm.STATE), np.float32)
+    random = np.random.default_rng(6)
+    h = random.uniform(-1, 1, (inputs.size, network.p["out"].shape[0])).astype(np.float32)
+    plain, whole = [], []
+    for _ in range(15):
+        for times, run in (
+            (plain, lambda: by_gathered_rows(network, h, targets.ravel())),
+            (whole, lambda: network.gradients(inputs, targets, weight, fresh, state)),
+        ):
+            begun = time.thread_time()
+            run()
+            times.append(time.thread_time() - begun)
+    assert min(whole) < 1.4 * min(plain)
+
+
+@pytest.mark.parametrize("level", [0, 300, -300])
+def test_softmax_of_far_logits(level):
+    logits = np.random.default_rng(7).normal(size=(6, 9)).astype(np.float32) + np.float32(level)
+    exact = np.exp(logits.astype(float) - level)
+    for axis in (0, 1):
+        shares = exact / exact.sum(axis, keepdims=True)
+        at = np.arange(9) if axis == 0 else np.arange(0, 54, 9)
+        found, out, sums = lm._exponentials(logits.copy, at, axis)
+        np.testing.assert_allclose(out / np.expand_dims(sums, axis), shares, rtol=1e-3)
+        np.testing.assert_allclose(found, np.log(shares.ravel()[at]), atol=1e-3)
+
+
+def test_words_are_split_as_bytes_are():
+    texts = [" a  B\tc\x0bd\x0ce\rF\n", "", None, "  ", "ÉTÉ x y z\x85 q\x1cr", "one", "\x00 \U0001f600"]
+    columns = [pa.chunked_array([texts[:3], [], texts[3:]], t) for t in (pa.string(), pa.large_string())]
+    columns.append(pa.chunked_array([pa.array(["x y", *texts]).slice(1)]))
+    for column in columns:
+        words, places = lm.words_of(column)
+        found = [words[a:b].to_pylist() for a, b in zip(places, places[1:])]
+        assert found == [(t or "").encode().lower().split() for t in texts]
