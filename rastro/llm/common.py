@@ -31,8 +31,8 @@ ROW = "_row_number"
 #: two words, whatever the base, from 1,024 bytes on.
 LONG_WORD = 64
 
-#: Texts are worked on in slices of about so many bytes.
-SLICE = 1 << 20
+#: Texts are worked on in slices of about so many bytes: arrays over them have eight for each.
+SLICE = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -72,17 +72,47 @@ def held(name: Hashable, make: Callable):
     here goes first, and its memory returns to the system.
     """
     if name not in _HELD:
-        _HELD.clear()
-        _POWERS.clear()
-        gc.collect()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # another C library keeps it for later use
-            pass
+        _let_go()
         _HELD[name] = make()
     return _HELD[name]
 
 
+def _let_go() -> None:
+    _HELD.clear()
+    _POWERS.clear()
+    gc.collect()
+    _returned()
+
+
+def _returned() -> None:
+    """Memory that is free inside the process returns to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library keeps it for later use
+        pass
+
+
+def tidy(work: Callable, holds: bool = False) -> Callable:
+    """``work`` over the batches of a task, without what other stages have left in the worker
+    (unless it ``holds`` something itself), and giving back at its end what it has freed."""
+
+    # What is sent to workers has no state of this module in it, only the name of a function.
+    def tidied(batches):
+        yield from _tidied(work, holds, batches)
+
+    return tidied
+
+
+def _tidied(work: Callable, holds: bool, batches: Iterator) -> Iterator:
+    if _HELD and not holds:
+        _let_go()
+    try:
+        yield from work(batches)
+    finally:
+        _returned()
+
+
 def _powers(n: int) -> list[np.ndarray]:
     if not _POWERS or len(_POWERS[0]) <= n:
         size = max(n + 1, SLICE + 64)
@@ -152,13 +182,14 @@ def grams(words: np.ndarray, k: int) -> np.ndarray:
     return mixed(total + np.uint64(k))
 
 
-def slices(places: np.ndarray, most: int = SLICE) -> Iterator[tuple[int, int]]:
-    """Runs of rows with about ``most`` bytes; a longer row stands alone."""
+def slices(places: np.ndarray, most: int = SLICE, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Runs of at most ``rows`` rows with about ``most`` bytes; a longer row stands alone."""
     low, n = 0, len(places) - 1
     while low < n:
         high = max(low + 1, int(np.searchsorted(places, places[low] + most, side="right")) - 1)
-        yield low, min(high, n)
-        low = min(high, n)
+        high = min(high, n, low + (rows or n))
+        yield low, high
+        low = high
 
 
 def with_keys(df: DataFrame, keys: DataFrame, name: str, rows: int) -> DataFrame:
@@ -237,6 +268,7 @@ __all__ = [
     "slices",
     "summed_vectors",
     "text_bytes",
+    "tidy",
     "with_keys",
     "with_whole",
     "without",

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rastro.llm.common import ALPHANUMERIC, ROW, Words, grams, numbered, slices, text_bytes, without
+from rastro.llm.common import ALPHANUMERIC, ROW, Words, grams, numbered, slices, text_bytes, tidy, without
 
 #: Words of a shared span; k-grams of K words in windows of WINDOW of them guarantee it.
 SPAN, K = 13, 6
@@ -202,7 +202,7 @@ def _meet(docs: DataFrame, shared) -> DataFrame:
                 )
 
     numbered = docs.select(F.monotonically_increasing_id(), F.col("doc_id").cast("long"), "text")
-    return numbered.mapInArrow(meet, HITS)
+    return numbered.mapInArrow(tidy(meet), HITS)
 
 
 def covered(spans: Column) -> Column:

@@ -15,11 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastro.llm.common import SLICE, slices, text_bytes, with_whole
+from rastro.llm.common import SLICE, slices, text_bytes, tidy, with_whole
 from rastro.llm.folds import held_out, sampled
 
 #: Vector places, n-gram lengths and centroids for each language.
 WIDTH, LENGTHS, CENTROIDS = 4096, (1, 2, 3), 4
+#: Texts whose vectors are laid out at a time, however short they are.
+TOGETHER = 64
 #: Vectors of each language that are clustered, chosen by hash: clusters are made on the driver.
 SAMPLE_ROWS = 400
 #: Rejected is what has less than this part of the cosine that all but a hundredth of the learned
@@ -126,7 +128,7 @@ def clustered(vectors: np.ndarray, k: int, rounds: int = 20) -> tuple[np.ndarray
 def _vectors(batches, column):
     for batch in batches:
         data, places = text_bytes(batch.column(column))
-        for low, high in slices(places, SLICE // 2):
+        for low, high in slices(places, SLICE // 2, TOGETHER):
             own = places[low : high + 1]
             yield batch, low, high, counts(data[own[0] : own[-1]], own - own[0])
 
@@ -146,7 +148,7 @@ def learned(docs: DataFrame) -> Model | None:
             names=["place", "n"],
         )
 
-    sums = known.mapInArrow(occurrences, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    sums = known.mapInArrow(tidy(occurrences), "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
     found = {r["place"]: r["n"] for r in sums.collect()}  # WIDTH + 1 rows
     if not found.get(-1):
         return None
@@ -178,7 +180,7 @@ def learned(docs: DataFrame) -> Model | None:
                         schema=SAMPLE,
                     )
 
-    rows = chosen.mapInArrow(vectors_of, "doc_id long, piece int, lang string, at binary, v binary").toArrow()
+    rows = chosen.mapInArrow(tidy(vectors_of), "doc_id long, piece int, lang string, at binary, v binary").toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("piece", "ascending")])
     langs = np.array(rows.column("lang").to_pylist(), dtype=object)
     whole = np.array(rows.column("piece").to_pylist(), int) == 0
@@ -256,7 +258,7 @@ def identify(docs: DataFrame, model: Model | None = None, whole: bool = False) -
         "text",
         *([F.struct(*(docs[c] for c in docs.columns)).alias("_all")] if whole else []),
     )
-    return given.mapInArrow(judge, with_whole(RESULT, given))
+    return given.mapInArrow(tidy(judge), with_whole(RESULT, given))
 
 
 def recognised(docs: DataFrame) -> DataFrame:

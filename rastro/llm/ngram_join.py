@@ -36,6 +36,7 @@ from rastro.llm.common import (
     pinned,
     slices,
     text_bytes,
+    tidy,
     with_keys,
     without,
 )
@@ -110,9 +111,9 @@ def sketch(docs: DataFrame, n: int) -> np.ndarray:
         )
 
     schema, chunks = "chunk int, values binary", (1 << SKETCH_BITS) // CHUNK
-    parts = docs.select("text").mapInArrow(count, schema).repartition(chunks, "chunk")
+    parts = docs.select("text").mapInArrow(tidy(count), schema).repartition(chunks, "chunk")
     total = np.zeros((chunks, CHUNK))
-    for row in parts.mapInArrow(add, schema).toLocalIterator():
+    for row in parts.mapInArrow(tidy(add), schema).toLocalIterator():
         total[row["chunk"]] = np.frombuffer(row["values"], np.uint64)
     return total.ravel()
 
@@ -163,7 +164,7 @@ def prefixes(docs: DataFrame, shared, n: int, percent: int) -> DataFrame:
                 names=["doc_id", "n", "digest", "centre", "parity", "prefix"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(rows, SETS)
+    return docs.select("doc_id", "text").mapInArrow(tidy(rows), SETS)
 
 
 def cell_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -180,7 +181,7 @@ def cell_sets(docs: DataFrame, n: int) -> DataFrame:
                 names=["cell", "v", "tokens"],
             )
 
-    return docs.select("doc_id", "text", "cell").mapInArrow(rows, "cell long, v long, tokens binary")
+    return docs.select("doc_id", "text", "cell").mapInArrow(tidy(rows), "cell long, v long, tokens binary")
 
 
 def similar_pairs(pairs: pa.Table, sets: pa.Table, level: np.ndarray, percent: int) -> pa.Table:

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rastro.llm.common import held, pinned
+from rastro.llm.common import held, pinned, tidy
 from rastro.llm.pretokens import Cache, pieces, words_of
 
 CAPACITY = 2048
@@ -36,7 +36,7 @@ LETTERS = {b: chr(0x100 + k) for k, b in enumerate(b for b in range(0x100) if b
 PIECES = (
     "doc_id long, row long, piece int, start long, length long, ids_crc32 long, part long, nth long"
 )
-PLACES = "length long, low long, high long, each long, sequence long, offset long"
+PLACES = pa.schema([(c, pa.int64()) for c in ("length", "low", "high", "each", "sequence", "offset")])
 
 
 class Encoder:
@@ -117,7 +117,7 @@ def cut(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
                     names=[f.split()[0] for f in PIECES.split(", ")],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut_rows, PIECES)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(cut_rows, holds=True), PIECES)
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -185,8 +185,10 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
     offsets = pinned(by_part.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))))
     # At most ``capacity`` rows.
     sizes = offsets.groupBy("length").agg(F.sum("n").alias("n")).collect()
+    found = best_fit({r["length"]: r["n"] for r in sizes}, capacity)
+    # As a table of Arrow: a list of rows would start Python workers of its own in every executor.
     places = spark.createDataFrame(
-        best_fit({r["length"]: r["n"] for r in sizes}, capacity), PLACES
+        pa.Table.from_arrays([pa.array([p[i] for p in found], pa.int64()) for i in range(len(PLACES))], schema=PLACES)
     )
     ranked = table.join(offsets.drop("n"), ["length", "part"]).withColumn(
         "rank", F.col("first") + F.col("nth")

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rastro.llm.common import held, text_bytes, with_whole
+from rastro.llm.common import held, text_bytes, tidy, with_whole
 from rastro.llm.folds import held_out, sampled
 
 #: Labelled texts of each class that are learned from, chosen by hash, and the bytes of the
@@ -176,7 +176,7 @@ def quality(
         "text",
         *([F.struct(*(docs[c] for c in docs.columns)).alias("_all")] if whole else []),
     )
-    return given.mapInArrow(score, with_whole(RESULT, given))
+    return given.mapInArrow(tidy(score, holds=True), with_whole(RESULT, given))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
