@@ -70,6 +70,24 @@ def _round(
     return chosen, pinned(short.filter("_missing > 0"))
 
 
+def _first_round(
+    wanted: DataFrame, seen: DataFrame, n_items: Column | int, key: list[str], seed: int, epoch: int, n: int
+) -> tuple[DataFrame, DataFrame]:
+    """The same for the first n tries of positives that miss n: each unseen item counts, so the
+    draws are shuffled once, to meet the seen pairs, and only those that were seen are counted."""
+    drawn = wanted.withColumn("_try", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    drawn = drawn.select("_pos", "u_idx", "_try", _item(n_items, key, seed, epoch, F.col("_try")).alias("neg_idx"))
+    pairs = seen.select("u_idx", F.col("i_idx").alias("neg_idx"), F.lit(1).alias("_known"))
+    met = drawn.join(pairs, ["u_idx", "neg_idx"], "left")
+    # Of draws that count nobody asks for their positive again.
+    again = [F.when(F.col("_known") == 1, F.col(c)).alias(c) for c in ("_pos", "_try")]
+    met = pinned(met.select("u_idx", "neg_idx", "_known", *again))
+    # A seen pair may come twice.
+    missed = met.filter("_known = 1").groupBy("_pos").agg(F.count_distinct("_try").cast("int").alias("_missing"))
+    short = wanted.drop("_missing").join(missed, "_pos").select(*wanted.columns)
+    return met.filter("_known is null").select("u_idx", "neg_idx"), pinned(short)
+
+
 def _item(n_items: Column | int, key: list[str], seed: int, epoch: int, attempt: Column) -> Column:
     drawn = hash_int(F.lit(seed), F.lit(epoch), *[F.col(c) for c in key], attempt)
     # Never null, and seen to be so: else a join computes it twice, to filter nulls.
@@ -88,16 +106,21 @@ def training_negatives(
 ) -> DataFrame:
     """Up to n unseen items per positive, from at most ``tries_per_negative`` · n tries each.
 
-    The first 2·n tries are enough for nearly every positive. The others, whose
-    users have seen much of the catalogue, go on to the full number of tries;
-    ``training_shortfall`` counts what they miss then.
+    The first n tries are enough for nearly every positive, so no more are drawn for all. Those
+    that miss some go on to 2·n, and to the full number of tries where users have seen much of
+    the catalogue; ``training_shortfall`` counts what they miss then.
     """
-    wanted = _numbered(positives, key, 2 * n).withColumn("_missing", F.lit(n))
-    early, late = min(2, tries_per_negative) * n, tries_per_negative * n
-    kept, short = _round(wanted, seen, n_items, key, seed, epoch, (0, early))
-    if late > early:
-        kept = kept.unionByName(_round(short, seen, n_items, key, seed, epoch, (early, late))[0])
-    return kept.select("u_idx", F.col("neg_idx").alias("i_idx"))
+    short = _numbered(positives, key, n).withColumn("_missing", F.lit(n))
+    ends = [0, *(min(k, tries_per_negative) * n for k in (1, 2, tries_per_negative))]
+    if not ends[-1]:
+        return short.limit(0).select("u_idx", "i_idx")
+    chosen, short = _first_round(short, seen, n_items, key, seed, epoch, n)
+    kept = [chosen]
+    for first, last in zip(ends[1:], ends[2:]):
+        if last > first and not short.isEmpty():
+            chosen, short = _round(short, seen, n_items, key, seed, epoch, (first, last))
+            kept.append(chosen.select("u_idx", "neg_idx"))
+    return reduce(DataFrame.unionByName, kept).select("u_idx", F.col("neg_idx").alias("i_idx"))
 
 
 def training_shortfall(pairs: DataFrame, n: int = 4) -> DataFrame:

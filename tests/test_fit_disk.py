@@ -1,4 +1,4 @@
-"""Fits leave no shuffle files behind, and phases change nothing."""
+"""Fits and draws leave no shuffle files behind, and phases change nothing."""
 
 import random
 
@@ -8,6 +8,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import functions as F
 
 from rastro.operators import implicit as im
+from rastro.operators import negatives as ng
 from rastro.operators import recommend as rec
 from rastro.session import pinned
 
@@ -79,3 +80,20 @@ def test_rows_with_few_and_many_cells_are_solved_exactly(monkeypatch):
         y, w = others[own != 0].astype(float), own[own != 0]
         a = others.T.astype(float) @ others + (y.T * (2 * abs(w))) @ y + 0.1 * (w > 0).sum() * np.eye(4)
         assert rows[k] == pytest.approx(np.linalg.solve(a, y.T @ np.where(w > 0, 1 + 2 * abs(w), 0)), abs=1e-4)
+
+
+def test_training_draws_n_tries_for_all(spark, monkeypatch):
+    """Only positives with a seen draw go on, each with what it misses; seen pairs may repeat."""
+    tries, plain = [], ng._round
+
+    def counted(wanted, *rest):
+        tries.append((wanted.count(), wanted.agg(F.max("_missing")).first()[0], rest[-1]))
+        return plain(wanted, *rest)
+
+    monkeypatch.setattr(ng, "_round", counted)
+    positives = pinned(spark.range(200).select(F.col("id").alias("u_idx"), (F.col("id") % 50).alias("i_idx")))
+    more = positives.unionByName(positives.select("u_idx", (F.col("u_idx") % 31 + 60).alias("i_idx")))
+    found = pinned(ng.training_negatives(positives, more.unionByName(more), 100, ["u_idx", "i_idx"], 4))
+    assert found.count() == 800
+    assert found.join(more, ["u_idx", "i_idx"]).isEmpty()
+    assert tries and all(n < 40 and most <= 4 and first >= 4 for n, most, (first, _) in tries)
